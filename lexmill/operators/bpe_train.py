@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexmill import schemas
 from lexmill.operators.vocab import adjacent_pairs, covered_alphabet, segment_counts, word_alphabet
-from lexmill.session import drop_table, write_table
+from lexmill.session import drop_table, task_count, write_table
 
 SPECIALS = ["<unk>", "<s>", "</s>"]
 N_BYTES = 256
@@ -100,7 +100,9 @@ def learn_merges(segments: DataFrame, n_merges: int, alphabet: set[str]) -> list
     code = {c: c for c in alphabet}
     piece = dict(code)
     free = (chr(i) for i in range(PRIVATE_START, 0x110000) if chr(i) not in alphabet)
-    table, path = write_table(segments.select(F.col("segment").alias("s"), "n"), "segments")
+    # Written in even parts: small files would leave most of the cluster idle every round.
+    start = segments.select(F.col("segment").alias("s"), "n").repartition(task_count(spark), "s")
+    table, path = write_table(start, "segments")
     merges: list[tuple[str, str]] = []
     pending: list[tuple[str, str]] = []
     width = RANKED_PAIRS

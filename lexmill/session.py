@@ -49,6 +49,13 @@ def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def task_count(spark: SparkSession) -> int:
+    """Tasks for an explicit exchange of a table that later rounds scan again and again."""
+    return max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
