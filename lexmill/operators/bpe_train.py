@@ -12,7 +12,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexmill import schemas
-from lexmill.operators.vocab import adjacent_pairs, covered_alphabet, segment_counts, word_alphabet
+from lexmill.operators.vocab import covered_alphabet, pair_rows, segment_counts, word_alphabet
 from lexmill.session import drop_table, task_count, write_table
 
 SPECIALS = ["<unk>", "<s>", "</s>"]
@@ -22,7 +22,7 @@ MAX_VOCAB = 65_536  # ids fit uint16
 MAX_PIECE = 16  # characters, word-start mark included
 PRIVATE_START = 0xF0000
 RANKED_PAIRS = 2_048  # pairs the driver looks at in one round, doubled when too few
-PENDING_MERGES = 48  # merges applied on the fly before the segments are written again
+PENDING_MERGES = 24  # merges applied on the fly before the segments are written again
 
 
 class PairRanking:
@@ -88,40 +88,77 @@ class PairRanking:
         return taken if taken or self.floor is None else None
 
 
-def _applied(symbols: Column, merges: list[tuple[str, str]], code: dict[str, str]) -> Column:
-    for a, b in merges:
-        symbols = F.replace(symbols, F.lit(code[a] + code[b]), F.lit(code[a + b]))
-    return symbols
+def _counted(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("p").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+class SegmentState:
+    """Segments and their pair counts as written tables, plus merges not yet written.
+
+    A merge changes only the segments that hold its pair, so a round counts the pairs of
+    changed segments, before and after, and adds the difference to the stored counts.
+    """
+
+    def __init__(self, segments: DataFrame):
+        self.spark = segments.sparkSession
+        self.tasks = task_count(self.spark)
+        self.pending: list[tuple[str, str]] = []
+        self.paths: list[str] = []
+        # Written in even parts: few files would leave most of the cluster idle.
+        self._store(segments.select(F.col("segment").alias("s"), "n").repartition(self.tasks, "s"))
+        self.counts = self._write(_counted(pair_rows(self.segments, "s")), "pairs")
+
+    def _write(self, df: DataFrame, label: str) -> DataFrame:
+        table, path = write_table(df, label)
+        self.paths.append(path)
+        return table
+
+    def _store(self, df: DataFrame) -> None:
+        self.segments = self._write(df, "segments")
+
+    def _merged(self, code: dict[str, str]) -> Column:
+        s = F.col("s")
+        for a, b in self.pending:
+            s = F.replace(s, F.lit(code[a] + code[b]), F.lit(code[a + b]))
+        return s
+
+    def pair_counts(self, code: dict[str, str]) -> DataFrame:
+        if not self.pending:
+            return self.counts
+        changed = self.segments.select("s", self._merged(code).alias("t"), "n").where("s <> t")
+        after = F.struct(F.col("t").alias("s"), F.col("n"))
+        before = F.struct(F.col("s"), (-F.col("n")).alias("n"))
+        difference = pair_rows(changed.select(F.inline(F.array(after, before))), "s")
+        return _counted(self.counts.unionByName(difference))
+
+    def settle(self, code: dict[str, str]) -> None:
+        """Write both tables anew; a segment that became one symbol has no pairs left."""
+        old, self.paths = self.paths, []
+        counts = self._write(self.pair_counts(code), "pairs")
+        self._store(self.segments.select(self._merged(code).alias("s"), "n").where(F.char_length("s") > 1))
+        self.counts, self.pending = counts, []
+        self._drop(old)
+
+    def _drop(self, paths: list[str]) -> None:
+        for path in paths:
+            drop_table(self.spark, path)
+
+    def close(self) -> None:
+        self._drop(self.paths)
 
 
 def learn_merges(segments: DataFrame, n_merges: int, alphabet: set[str]) -> list[tuple[str, str]]:
     """The ordered merge list: most frequent pair first, ties by the pieces themselves."""
-    spark = segments.sparkSession
     code = {c: c for c in alphabet}
     piece = dict(code)
     free = (chr(i) for i in range(PRIVATE_START, 0x110000) if chr(i) not in alphabet)
-    # Written in even parts: small files would leave most of the cluster idle every round.
-    start = segments.select(F.col("segment").alias("s"), "n").repartition(task_count(spark), "s")
-    table, path = write_table(start, "segments")
     merges: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
     width = RANKED_PAIRS
+    state = SegmentState(segments)
     while len(merges) < n_merges:
-        current = table.select(_applied(F.col("s"), pending, code).alias("s"), "n")
-        if len(pending) >= PENDING_MERGES:
-            # A segment that is one symbol has no pairs left.
-            old = path
-            table, path = write_table(current.where(F.char_length("s") > 1), "segments")
-            drop_table(spark, old)
-            pending, current = [], table
-        ranked = (
-            current.select(F.explode(adjacent_pairs(F.col("s"))).alias("p"), "n")
-            .groupBy("p")
-            .agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "p")
-            .limit(width)
-            .collect()
-        )
+        if len(state.pending) >= PENDING_MERGES:
+            state.settle(code)
+        ranked = state.pair_counts(code).orderBy(F.desc("n"), "p").limit(width).collect()
         pairs = [(r["n"], piece[r["p"][0]], piece[r["p"][1]]) for r in ranked]
         if not pairs:
             break
@@ -135,8 +172,8 @@ def learn_merges(segments: DataFrame, n_merges: int, alphabet: set[str]) -> list
             code[a + b] = next(free)
             piece[code[a + b]] = a + b
         merges += new
-        pending += new
-    drop_table(spark, path)
+        state.pending += new
+    state.close()
     return merges
 
 

@@ -12,15 +12,21 @@ def token_pairs(example_table: DataFrame, *keep: str) -> DataFrame:
     return example_table.select(*keep, F.inline(F.arrays_zip("x", "y"))).where(F.col("y") != IGNORED)
 
 
-def next_counts(example_table: DataFrame, vocab_size: int, alpha: float = 1.0) -> DataFrame:
-    """``x, y, n, total, p``: how often y follows x, with add-alpha smoothing.
+def split_counts(example_table: DataFrame) -> DataFrame:
+    """``split, x, y, n``: how often y follows x in each split.
 
-    Pairs are counted on the map side; later steps see at most one row per pair of
-    vocabulary ids.
+    Pairs are counted on the map side. Fit and evaluation need no more than this table,
+    at most one row per split and pair of vocabulary ids.
     """
-    counts = token_pairs(example_table).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    return token_pairs(example_table, "split").groupBy("split", "x", "y").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def next_model(counts: DataFrame, vocab_size: int, alpha: float = 1.0) -> DataFrame:
+    """``x, y, n, total, p`` from pair counts ``x, y, n``, with add-alpha smoothing."""
     total = F.sum("n").over(Window.partitionBy("x"))
-    return counts.withColumn("total", total).withColumn(
+    return counts.select("x", "y", "n", total.alias("total")).withColumn(
         "p", (F.col("n") + alpha) / (F.col("total") + alpha * vocab_size)
     )
 
@@ -39,18 +45,12 @@ def score_pairs(pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: floa
 
 
 def cross_entropy(
-    example_table: DataFrame, model: DataFrame, vocab_size: int, alpha: float = 1.0
+    counts: DataFrame, model: DataFrame, vocab_size: int, alpha: float = 1.0
 ) -> DataFrame:
-    """``split, n_targets, loss``. Targets are counted per pair before they meet the model,
-    so neither side of the join grows with the corpus."""
-    counted = (
-        token_pairs(example_table, "split")
-        .groupBy("split", "x", "y")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    scored = score_pairs(counted, model, vocab_size, alpha)
+    """``split, n_targets, loss`` from ``split_counts``: the mean over all targets."""
+    scored = score_pairs(counts, model, vocab_size, alpha)
     return scored.groupBy("split").agg(
-        F.sum("m").alias("n_targets"), (F.sum(F.col("m") * F.col("nll")) / F.sum("m")).alias("loss")
+        F.sum("n").alias("n_targets"), (F.sum(F.col("n") * F.col("nll")) / F.sum("n")).alias("loss")
     )
 
 

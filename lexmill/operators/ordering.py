@@ -68,18 +68,20 @@ def row_index(
     within: Sequence[str] = (),
     name: str = "idx",
     total: str | None = None,
+    keep_block: bool = False,
 ) -> DataFrame:
     """Zero-based position in ``order`` inside each group, and the group size.
 
     ``block`` must be non-decreasing along ``order``; ``order`` must be total.
-    Without ``within`` it must also have a bounded number of values.
+    Without ``within`` it must also have a bounded number of values. ``keep_block``
+    leaves the block in column ``_block``; the result is partitioned by it.
     """
     size = total or "_total"
     starts = block_starts(df, block, within, start="_start", total=size)
     w = Window.partitionBy(*within, "_block").orderBy(*order)
     local = df.withColumn("_block", block).withColumn("_local", F.row_number().over(w) - 1)
     out = _attach(local, starts, within).withColumn(name, F.col("_start") + F.col("_local"))
-    gone = ["_block", "_local", "_start"] + ([] if total else ["_total"])
+    gone = ["_local", "_start"] + ([] if total else ["_total"]) + ([] if keep_block else ["_block"])
     return out.drop(*gone)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from lexmill.operators.ordering import balanced_part, block_starts, hash_block, hash_key, row_index
+from lexmill.operators.ordering import balanced_part, hash_block, hash_key, row_index
 
 DEFAULT_SHARDS = 750
 DEFAULT_SEED = 678
@@ -30,31 +30,35 @@ def assign_shards(table: DataFrame, n_shards: int = DEFAULT_SHARDS, seed: int =
     begins. That table has at most 65,536 rows plus ``n_shards`` keys and is broadcast.
     """
     keyed = table.withColumn("ord", hash_key(seed, "doc_id"))
-    narrow = keyed.select("doc_id", "ord")
     ranked = row_index(
-        narrow, ["ord", "doc_id"], hash_block(F.col("ord")), name="rnk", total="n_docs"
+        keyed.select("doc_id", "ord"),
+        ["ord", "doc_id"],
+        hash_block(F.col("ord")),
+        name="rnk",
+        total="n_docs",
+        keep_block=True,
     )
     shard = balanced_part(F.col("rnk"), F.col("n_docs"), n_shards)
     before = balanced_part(F.col("rnk") - 1, F.col("n_docs"), n_shards)
-    cuts = (
-        ranked.where((F.col("rnk") > 0) & (shard != before))
-        .groupBy(hash_block(F.col("ord")).alias("_block"))
-        .agg(F.collect_list(F.struct("ord", "doc_id")).alias("_cuts"))
+    opens_shard = (F.col("rnk") > 0) & (shard != before)
+    blocks = ranked.groupBy("_block").agg(
+        F.min("rnk").alias("_start"),
+        F.max("n_docs").alias("_n"),
+        F.collect_list(F.when(opens_shard, F.struct("ord", "doc_id"))).alias("_cuts"),
     )
-    starts = block_starts(narrow, hash_block(F.col("ord")))
-    table_of_blocks = starts.join(cuts, "_block", "left").select(
+    table_of_blocks = blocks.select(
         "_block",
         F.when(F.col("_start") == 0, F.lit(0))
-        .otherwise(balanced_part(F.col("_start") - 1, F.col("_total"), n_shards))
+        .otherwise(balanced_part(F.col("_start") - 1, F.col("_n"), n_shards))
         .alias("_first"),
         "_cuts",
     )
     me = F.struct("ord", "doc_id")
-    passed = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= me)), F.lit(0))
+    passed = F.size(F.filter("_cuts", lambda c: c <= me))
     return (
         keyed.withColumn("_block", hash_block(F.col("ord")))
         .join(F.broadcast(table_of_blocks), "_block")
-        .withColumn("shard", (F.col("_first") + F.greatest(passed, F.lit(0))).cast("int"))
+        .withColumn("shard", (F.col("_first") + passed).cast("int"))
         .drop("_block", "_first", "_cuts")
     )
 

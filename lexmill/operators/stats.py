@@ -53,16 +53,12 @@ def steps_plan(totals: DataFrame, context: int, batch_size: int, accumulation: i
 
 
 def vocabulary_growth(table: DataFrame, group: str) -> DataFrame:
-    """``grp, x, y``: words and distinct words of every document that has words."""
+    """``grp, x, y``: words and distinct words of every document; null without words."""
     w = words(F.col("content"))
-    return (
-        table.select(F.col(group).alias("grp"), w.alias("w"))
-        .select(
-            "grp",
-            F.size("w").cast("double").alias("x"),
-            F.size(F.array_distinct("w")).cast("double").alias("y"),
-        )
-        .where("x > 0")
+    return table.select(F.col(group).alias("grp"), w.alias("w")).select(
+        "grp",
+        F.nullif(F.size("w"), F.lit(0)).cast("double").alias("x"),
+        F.nullif(F.size(F.array_distinct("w")), F.lit(0)).cast("double").alias("y"),
     )
 
 

@@ -11,6 +11,7 @@ MAX_SAMPLE_LINES = 20_000_000
 FIRST_CHAR_ID = 3
 CHAR_SPECIALS = {"<s>": 0, "</s>": 1, "<unk>": 2}
 
+PAIR_WINDOW = 64
 WORD_START = "▁"
 # Characters that never enter the byte-pair alphabet: control characters and white
 # space other than U+0020. They split words and are encoded as bytes.
@@ -115,18 +116,29 @@ def word_alphabet(words: DataFrame) -> DataFrame:
 
 def pair_counts(segments: DataFrame, column: str = "segment") -> DataFrame:
     """``a, b, n``: neighbouring symbols, weighted by how often their segment occurs."""
-    pair = adjacent_pairs(F.col(column))
     return (
-        segments.select(F.explode(pair).alias("p"), "n")
+        pair_rows(segments.select(column, "n"), column)
         .groupBy("p")
         .agg(F.sum("n").alias("n"))
         .select(F.substring("p", 1, 1).alias("a"), F.substring("p", 2, 1).alias("b"), "n")
     )
 
 
-def adjacent_pairs(symbols: Column) -> Column:
-    """Two-character strings of all neighbours."""
-    chars = characters(symbols)
-    tail = F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0)))
-    head = F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0)))
-    return F.zip_with(head, tail, lambda a, b: F.concat(a, b))
+def pair_rows(table: DataFrame, column: str) -> DataFrame:
+    """One row per pair of neighbours: two-character string ``p`` in place of ``column``.
+
+    Positions are generated and cut inside compiled code. Long strings are first cut to
+    windows that overlap by one character, since a cut costs as much as its position.
+    """
+    rest = [c for c in table.columns if c != column]
+    last_start = F.char_length(column) - 1
+    step = F.lit(PAIR_WINDOW - 1)
+    windows = (
+        table.where(last_start > 0)
+        .select(*rest, column, F.explode(F.sequence(F.lit(1), last_start, step)).alias("_w"))
+        .select(*rest, F.substring(F.col(column), F.col("_w"), F.lit(PAIR_WINDOW)).alias("_s"))
+    )
+    places = F.sequence(F.lit(1), F.char_length("_s") - 1)
+    return windows.select(*rest, "_s", F.explode(places).alias("_i")).select(
+        *rest, F.substring(F.col("_s"), F.col("_i"), F.lit(2)).alias("p")
+    )

@@ -147,7 +147,7 @@ def char_roundtrip(spark, sf_dir):
 
 
 def doc_offsets(spark, sf_dir):
-    tokens = _char_tokens(spark, sf_dir).select("shard", "ord", "doc_id", "n")
+    tokens = _stored_char_tokens(spark, sf_dir)[0].select("shard", "ord", "doc_id", "n")
     return packing.document_offsets(tokens).select("shard", "doc_id", "offset", "n", "stream_len")
 
 
@@ -279,9 +279,9 @@ def bpe_shard_stats(spark, sf_dir):
 
 def _model(spark, sf_dir):
     table, tokens, tokenizer = _examples(spark, sf_dir)
-    train = table.where(F.col("split") == "train")
-    model, _ = write_table(nexttoken.next_counts(train, tokenizer.vocab_size), "model")
-    return model, table, tokens, tokenizer
+    counts, _ = write_table(nexttoken.split_counts(table), "pairs")
+    model = nexttoken.next_model(counts.where(F.col("split") == "train"), tokenizer.vocab_size)
+    return model, counts, table, tokens, tokenizer
 
 
 def next_counts(spark, sf_dir):
@@ -290,16 +290,15 @@ def next_counts(spark, sf_dir):
 
 
 def cross_entropy(spark, sf_dir):
-    model, table, _, tokenizer = _model(spark, sf_dir)
-    loss = nexttoken.cross_entropy(table, model, tokenizer.vocab_size)
+    model, counts, _, _, tokenizer = _model(spark, sf_dir)
+    loss = nexttoken.cross_entropy(counts, model, tokenizer.vocab_size)
     return loss.withColumn("loss", F.round("loss", 6))
 
 
 def eval_by_split(spark, sf_dir):
-    model, table, tokens, tokenizer = _model(spark, sf_dir)
+    model, _, table, tokens, tokenizer = _model(spark, sf_dir)
     files = flows.shard_files(tokens, N_SHARDS, 1)
-    numbered = flows.batch_table(files, CONTEXT, BATCH, 1).where(F.col("batch_id") < EVAL_ITERS)
-    batched = table.join(numbered.select("shard", "chunk", "batch_id"), ["shard", "chunk"])
+    batched = flows.leading_batches(table, files, CONTEXT, BATCH, EVAL_ITERS)
     loss = nexttoken.eval_by_split(batched, model, tokenizer.vocab_size, EVAL_ITERS)
     return loss.withColumn("loss", F.round("loss", 6))
 

@@ -65,7 +65,9 @@ def shard_files(tokens: DataFrame, n_shards: int, workers: int) -> DataFrame:
     """``split, worker, file_no, shard, stream_len`` for every shard, empty ones included."""
     all_shards = shards.shard_list(tokens.sparkSession, n_shards)
     placed = shards.worker_slices(shards.split_shards(all_shards), workers)
-    return placed.join(packing.stream_lengths(tokens, all_shards), "shard")
+    # One row per shard, read several times below: stored, so tokens are counted once.
+    lengths, _ = write_table(packing.stream_lengths(tokens, all_shards), "lengths")
+    return placed.join(lengths, "shard")
 
 
 def batch_table(files: DataFrame, context: int, batch_size: int, n_epochs: int) -> DataFrame:
@@ -75,6 +77,24 @@ def batch_table(files: DataFrame, context: int, batch_size: int, n_epochs: int)
     return packing.batches(ordered, files, context, batch_size)
 
 
+BROADCAST_EXAMPLES = 1_000_000
+
+
+def leading_batches(
+    table: DataFrame, files: DataFrame, context: int, batch_size: int, n_batches: int
+) -> DataFrame:
+    """Examples of the first ``n_batches`` batches of every split and worker, first epoch.
+
+    Their number is fixed by the parameters; only a small number is broadcast.
+    """
+    numbered = batch_table(files, context, batch_size, 1).where(F.col("batch_id") < n_batches)
+    wanted = numbered.select("shard", "chunk", "batch_id")
+    workers = files.select("split", "worker").distinct().count()
+    if n_batches * batch_size * workers <= BROADCAST_EXAMPLES:
+        wanted = F.broadcast(wanted)
+    return table.join(wanted, ["shard", "chunk"])
+
+
 def split_summary(articles: DataFrame, n_shards: int, context: int) -> DataFrame:
     """Documents, tokens, mean document length and examples per split."""
     tokens = token_table(articles, char_tokenizer(articles), n_shards).select("shard", "n")
