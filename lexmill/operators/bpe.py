@@ -130,11 +130,6 @@ class BpeTokenizer:
         return F.when(text.startswith(" "), F.substring(text, 2, 2**31 - 1)).otherwise(text)
 
 
-def register_functions(spark, tokenizer: BpeTokenizer, name: str = "bpe_encode") -> None:
-    """Make the encoder callable from SQL."""
-    spark.udf.register(name, tokenizer.encoder())
-
-
 def encode_table(stripped: DataFrame, tokenizer) -> DataFrame:
     """``shard, ord, doc_id, n, tokens`` with begin and end markers, for any tokenizer."""
     rest = [c for c in stripped.columns if c not in ("title", "content")]

@@ -22,6 +22,7 @@ MAX_VOCAB = 65_536  # ids fit uint16
 MAX_PIECE = 16  # characters, word-start mark included
 PRIVATE_START = 0xF0000
 RANKED_PAIRS = 2_048  # pairs the driver looks at in one round, doubled when too few
+ROWS_PER_TASK = 20_000  # segments per task of a round, up to the tasks of the cluster
 PENDING_MERGES = 24  # merges applied on the fly before the segments are written again
 
 
@@ -101,11 +102,12 @@ class SegmentState:
 
     def __init__(self, segments: DataFrame):
         self.spark = segments.sparkSession
-        self.tasks = task_count(self.spark)
         self.pending: list[tuple[str, str]] = []
         self.paths: list[str] = []
-        # Written in even parts: few files would leave most of the cluster idle.
-        self._store(segments.select(F.col("segment").alias("s"), "n").repartition(self.tasks, "s"))
+        self._store(segments.select(F.col("segment").alias("s"), "n"))
+        # Every round scans this table: cut it to even parts that keep the cores busy.
+        parts = max(1, min(task_count(self.spark), self.segments.count() // ROWS_PER_TASK))
+        self._store(self.segments.repartition(parts, "s"))
         self.counts = self._write(_counted(pair_rows(self.segments, "s")), "pairs")
 
     def _write(self, df: DataFrame, label: str) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexmill.functions.arith import div
+
 KEY_DIGITS = 4  # 65,536 blocks of a hash order
 
 
@@ -114,14 +116,14 @@ def balanced_part(idx: Column, n: Column, parts: int) -> Column:
     The first ``n % parts`` parts hold one row more than the others.
     """
     parts_ = F.lit(parts).cast("bigint")
-    size = ((n - n % parts_) / parts_).cast("bigint")
+    size = div(n, parts_)
     extra = n % parts_
     head = extra * (size + 1)
     in_head = idx < head
     width = F.greatest(F.when(in_head, size + 1).otherwise(size), F.lit(1))
     base = F.when(in_head, F.lit(0)).otherwise(extra)
     past = idx - F.when(in_head, F.lit(0)).otherwise(head)
-    return (base + F.floor(past / width)).cast("int")
+    return (base + div(past, width)).cast("int")
 
 
 def kth_smallest(df: DataFrame, column: str, k: int, bins: int = 1024) -> int | None:

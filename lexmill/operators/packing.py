@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexmill.functions.arith import div
 from lexmill.operators.ordering import hash_block, running_offset
 
 UINT16_MAX = 65_535
@@ -34,42 +35,42 @@ def document_offsets(tokens: DataFrame) -> DataFrame:
 
 def chunk_count(stream_len: Column, context: int) -> Column:
     """Chunks of a stream: all full windows but the last one."""
-    return F.greatest(F.floor(stream_len / context) - 1, F.lit(0))
+    return F.greatest(div(stream_len, context) - 1, F.lit(0))
 
 
 def chunks(streams: DataFrame, context: int) -> DataFrame:
     """``shard, chunk, ids``: chunk i is tokens ``[i*C, i*C + C]`` of the shard's stream.
 
-    Input ``shard, offset, stream_len, n, tokens``. Each document is cut once into
-    its pieces of chunks. A piece that is a whole chunk is final; only pieces at
-    document borders are exchanged, and a group never holds more than C + 1 tokens.
+    Input ``shard, offset, stream_len, n, tokens``. Chunks inside one document are cut
+    where the document is. Only the at most two chunks that cross its borders are
+    exchanged, and a group never holds more than C + 1 tokens.
     """
-    o, n = F.col("offset"), F.col("n")
-    first = F.greatest(F.floor((o - 1) / context), F.lit(0))
-    last = F.least(F.floor((o + n - 1) / context), chunk_count(F.col("stream_len"), context) - 1)
+    o, end = F.col("offset"), F.col("offset") + F.col("n")
+    limit = chunk_count(F.col("stream_len"), context) - 1
+    none = F.array().cast("array<bigint>")
 
     def piece(i: Column) -> Column:
         start = F.greatest(o, i * context)
-        stop = F.least(o + n, i * context + context + 1)
-        return F.struct(
-            i.alias("chunk"),
-            start.alias("start"),
-            F.slice("tokens", (start - o + 1).cast("int"), (stop - start).cast("int")).alias("ids"),
-        )
-
-    numbers = F.when((n > 0) & (first <= last), F.sequence(first, last)).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    pieces = streams.select("shard", F.inline(F.transform(numbers, piece)))
-    whole = F.size("ids") == context + 1
-    inner = pieces.where(whole).select("shard", "chunk", "ids")
-    border = (
-        pieces.where(~whole)
-        .groupBy("shard", "chunk")
+        stop = F.least(end, i * context + context + 1)
+        ids = F.slice("tokens", (start - o + 1).cast("int"), (stop - start).cast("int"))
+        return F.struct(i.alias("chunk"), start.alias("start"), ids.alias("ids"))
+
+    def pieces(numbers: Column) -> DataFrame:
+        chosen = F.when(F.col("n") > 0, numbers).otherwise(none)
+        return streams.select("shard", F.inline(F.transform(chosen, piece)))
+
+    low = div(o + (context - 1), context)
+    high = F.least(div(end - 1, context) - 1, limit)
+    inner = pieces(F.when(low <= high, F.sequence(low, high)).otherwise(none))
+    # The chunk that began in an earlier document, and the one that goes on in a later one.
+    ends = F.array(F.when(o > 0, div(o - 1, context)), div(end - 1, context))
+    border = pieces(F.filter(F.array_distinct(ends), lambda i: i <= limit))
+    joined = (
+        border.groupBy("shard", "chunk")
         .agg(F.array_sort(F.collect_list(F.struct("start", "ids"))).alias("p"))
         .select("shard", "chunk", F.flatten(F.col("p.ids")).alias("ids"))
     )
-    return inner.unionByName(border)
+    return inner.select("shard", "chunk", "ids").unionByName(joined)
 
 
 def examples(chunk_table: DataFrame, context: int) -> DataFrame:
@@ -120,7 +121,7 @@ def chunk_list(lengths: DataFrame, context: int) -> DataFrame:
     spans = (
         lengths.select(*rest, n.alias("_n"))
         .where("_n > 0")
-        .select(*rest, "_n", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / SPAN))).alias("_s"))
+        .select(*rest, "_n", F.explode(F.sequence(F.lit(0), div(F.col("_n") - 1, SPAN))).alias("_s"))
     )
     if "shard" in rest:
         spans = spans.repartition("shard", "_s")
@@ -148,7 +149,7 @@ def batches(ordered: DataFrame, lengths: DataFrame, context: int, batch_size: in
     return (
         ordered.join(files, ["split", "worker", "shard"])
         .withColumn("_place", place)
-        .withColumn("batch_id", F.floor(F.col("_place") / batch_size))
+        .withColumn("batch_id", div(F.col("_place"), batch_size))
         .withColumn("pos", (F.col("_place") % batch_size).cast("int"))
         .drop("_place", "_before", "_per_epoch", "pos_in_shard")
     )

@@ -10,6 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lexmill.functions.arith import div
 from lexmill.operators.ordering import row_index
 
 BLOCK_STEPS = 65_536
@@ -37,7 +38,7 @@ def every_kth(log: DataFrame, k: int) -> DataFrame:
 
 
 def _blocked(log: DataFrame, steps: int) -> DataFrame:
-    return log.withColumn("_block", F.floor(F.col("step") / steps))
+    return log.withColumn("_block", div(F.col("step"), steps))
 
 
 def step_seconds(log: DataFrame, block_steps: int = BLOCK_STEPS) -> DataFrame:
@@ -97,7 +98,7 @@ def running_average(
     place = F.col("step") - skip
     rows = (
         log.where(F.col("step") >= skip)
-        .withColumn("_block", F.floor(place / length))
+        .withColumn("_block", div(place, length))
         .withColumn("_i", (place % length).cast("double"))
     )
     weight = F.when(place == 0, F.lit(1.0)).otherwise(F.lit(1.0 - decay))

@@ -214,9 +214,9 @@ def shard_stats(spark, sf_dir):
 
 
 def corpus_totals(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source")
-    tokens = _char_tokens(spark, sf_dir).select("doc_id", "n")
-    return stats.corpus_totals(tokens.join(docs, "doc_id"), "lang", "source")
+    labelled = corpus.stripped(spread_documents(spark, sf_dir))
+    tokens = flows.token_table(labelled, flows.char_tokenizer(labelled), N_SHARDS)
+    return stats.corpus_totals(tokens, "lang", "source")
 
 
 def shard_count(spark, sf_dir):
@@ -244,7 +244,7 @@ def loglog_fit(spark, sf_dir):
 
 def spread_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return flows.spread(docs.select("doc_id", "lang", F.col("text").alias("content")), "doc_id")
+    return flows.spread(docs.select("doc_id", "lang", "source", F.col("text").alias("content")), "doc_id")
 
 
 def _words(spark, sf_dir):

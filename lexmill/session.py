@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: dict[str, list[str]] = {}
+
+
 def build_session(cores: str = "*", app: str = "lexmill") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     spark = (
@@ -46,11 +49,18 @@ def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Remove all tables this session wrote with ``write_table``; their scans end here."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        drop_table(spark, path)
+
+
 def task_count(spark: SparkSession) -> int:
-    """Tasks for an explicit exchange of a table that later rounds scan again and again."""
+    """Most tasks an explicit exchange should ask for."""
     return max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
@@ -75,10 +85,10 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-distribute a scan that has fewer splits than the cluster has cores.
+    """Hash-distribute a scan that has at most half as many splits as the cluster has cores.
 
     A large table has more splits than cores and passes through untouched; only a
     table too small to occupy the cluster is exchanged.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if 2 * df.rdd.getNumPartitions() <= cores else df

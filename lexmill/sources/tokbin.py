@@ -159,17 +159,23 @@ class TokbinSource(DataSource):
         return TokenWriter(self.options)
 
 
-def write_token_files(tokens: DataFrame, folder: str, n_shards: int) -> None:
-    """One file per shard of ``shard, ord, doc_id, tokens``; the folder must be new or empty."""
+def write_token_files(
+    tokens: DataFrame, folder: str, n_shards: int, overwrite: bool = False
+) -> None:
+    """One file per shard of ``shard, ord, doc_id, tokens``.
+
+    The folder must be new or empty unless ``overwrite`` is given.
+    """
     from pyarrow import fs
 
     spark = tokens.sparkSession
     spark.dataSource.register(TokbinSource)
     files, path = open_folder(folder)
-    if files.get_file_info(path).type != fs.FileType.NotFound and files.get_file_info(
-        fs.FileSelector(path)
-    ):
-        raise FileExistsError(f"{folder} is not empty")
+    known = files.get_file_info(path).type != fs.FileType.NotFound
+    if known and files.get_file_info(fs.FileSelector(path)):
+        if not overwrite:
+            raise FileExistsError(f"{folder} is not empty")
+        files.delete_dir_contents(path)
     files.create_dir(path, recursive=True)
     (
         tokens.repartitionById(n_shards, F.col("shard"))

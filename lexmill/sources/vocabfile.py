@@ -27,9 +27,22 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 
     Lines split at ``\\n`` only and nothing is quoted, since pieces hold quote characters.
     """
-    lines = spark.read.option("lineSep", "\n").text(path).limit(MAX_VOCAB + 1).collect()
+    lines = (
+        spark.read.option("lineSep", "\n")
+        .text(path)
+        .select(
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_block_start").alias("byte"),
+            F.monotonically_increasing_id().alias("line"),
+            "value",
+        )
+        .limit(MAX_VOCAB + 1)
+        .collect()
+    )
+    if len(lines) > MAX_VOCAB:
+        raise ValueError("a vocabulary holds at most 65536 pieces")
     rows = []
-    for i, r in enumerate(lines):
+    for i, r in enumerate(sorted(lines)):
         piece, score = r["value"].rsplit("\t", 1)
         rows.append((i, piece, float(score)))
     table = spark.createDataFrame(rows, "id int, piece string, score double")

@@ -93,6 +93,8 @@ def test_token_files(spark):
     assert got == want
     with pytest.raises(FileExistsError):
         tokbin.write_token_files(tokens, folder, 5)
+    tokbin.write_token_files(tokens.where("shard < 2"), folder, 5, overwrite=True)
+    assert sorted(os.listdir(folder)) == ["shard_0.bin", "shard_1.bin"]
     with pytest.raises(Exception, match="no token files"):
         os.makedirs(f"{folder}-empty")
         tokbin.read_token_files(spark, f"{folder}-empty").collect()

@@ -1,9 +1,11 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexmill import schemas
+from lexmill.functions import sql
 from lexmill.operators import bpe, bpe_train, packing, stats, vocab
 from lexmill.operators.chars import CharTokenizer
 from tests.plain import plain_chunks, plain_encode, plain_merges
@@ -147,10 +149,28 @@ def test_encode_equals_the_public_tokenizer(spark, small_dir):
     assert all(r["t"] == sp.decode(sp.encode(all_texts[r["doc_id"]])) for r in back)
 
 
-def test_sql_function(spark):
-    tok = small_tokenizer()
-    bpe.register_functions(spark, tok)
-    assert spark.sql("SELECT bpe_encode('low a') AS t").first()["t"] == [263, 259]
+def test_sql_functions(spark):
+    sql.register(spark, small_tokenizer())
+    r = spark.sql(
+        "SELECT bpe_encode('low a') AS t, strip_text('\u3000 a\tb\n') AS s, word_total(' a\tb ') AS w, "
+        "chunk_total(13, 6) AS c, shuffle_key(678, 5) AS k"
+    ).first()
+    assert (r["t"], r["s"], r["w"], r["c"]) == ([263, 259], "a\tb", 2, 1)
+    assert r["k"] == hashlib.md5(b"678:5").hexdigest()
+
+
+def test_packing_in_sql_equals_the_operator(spark):
+    sql.register(spark)
+    rng = random.Random(8)
+    docs = [(rng.choice([0, 0, 1]), [rng.randint(0, 9) for _ in range(rng.choice([0, 1, 3, 20]))]) for _ in range(30)]
+    streams = packing.document_offsets(token_rows(spark, docs))
+    streams.createOrReplaceTempView("streams")
+    got = spark.sql(
+        "SELECT shard, chunk, flatten(transform(array_sort(collect_list(struct(start, ids))), p -> p.ids)) AS ids "
+        "FROM streams, LATERAL chunk_pieces(tokens, offset, stream_len, 4) GROUP BY shard, chunk"
+    )
+    want = packing.chunks(streams, 4)
+    assert got.exceptAll(want).isEmpty() and got.count() == want.count()
 
 
 def token_rows(spark, docs, parts=3):
