@@ -104,19 +104,23 @@ class SegmentState:
         self.spark = segments.sparkSession
         self.pending: list[tuple[str, str]] = []
         self.paths: list[str] = []
-        self._store(segments.select(F.col("segment").alias("s"), "n"))
+        raw = self._write(segments.select(F.col("segment").alias("s"), "n"), "segments")
         # Every round scans this table: cut it to even parts that keep the cores busy.
-        parts = max(1, min(task_count(self.spark), self.segments.count() // ROWS_PER_TASK))
-        self._store(self.segments.repartition(parts, "s"))
-        self.counts = self._write(_counted(pair_rows(self.segments, "s")), "pairs")
+        parts = max(1, min(task_count(self.spark), raw.count() // ROWS_PER_TASK))
+        self._store(raw.repartition(parts, "s"))
 
     def _write(self, df: DataFrame, label: str) -> DataFrame:
         table, path = write_table(df, label)
         self.paths.append(path)
         return table
 
-    def _store(self, df: DataFrame) -> None:
-        self.segments = self._write(df, "segments")
+    def _store(self, segments: DataFrame) -> None:
+        old, self.paths = self.paths, []
+        self.segments = self._write(segments, "segments")
+        self.counts = self._write(_counted(pair_rows(self.segments, "s")), "pairs")
+        self.pending = []
+        for path in old:
+            drop_table(self.spark, path)
 
     def _merged(self, code: dict[str, str]) -> Column:
         s = F.col("s")
@@ -127,26 +131,22 @@ class SegmentState:
     def pair_counts(self, code: dict[str, str]) -> DataFrame:
         if not self.pending:
             return self.counts
-        changed = self.segments.select("s", self._merged(code).alias("t"), "n").where("s <> t")
+        merged = self.segments.select("s", self._merged(code).alias("t"), "n")
         after = F.struct(F.col("t").alias("s"), F.col("n"))
         before = F.struct(F.col("s"), (-F.col("n")).alias("n"))
-        difference = pair_rows(changed.select(F.inline(F.array(after, before))), "s")
+        # A condition here, not a filter: a filter would apply all merges a second time.
+        changed = F.when(F.col("s") != F.col("t"), F.array(after, before))
+        difference = pair_rows(merged.select(F.inline(changed)), "s")
         return _counted(self.counts.unionByName(difference))
 
     def settle(self, code: dict[str, str]) -> None:
         """Write both tables anew; a segment that became one symbol has no pairs left."""
-        old, self.paths = self.paths, []
-        counts = self._write(self.pair_counts(code), "pairs")
-        self._store(self.segments.select(self._merged(code).alias("s"), "n").where(F.char_length("s") > 1))
-        self.counts, self.pending = counts, []
-        self._drop(old)
-
-    def _drop(self, paths: list[str]) -> None:
-        for path in paths:
-            drop_table(self.spark, path)
+        merged = self.segments.select(self._merged(code).alias("s"), "n")
+        self._store(merged.where(F.char_length("s") > 1))
 
     def close(self) -> None:
-        self._drop(self.paths)
+        for path in self.paths:
+            drop_table(self.spark, path)
 
 
 def learn_merges(segments: DataFrame, n_merges: int, alphabet: set[str]) -> list[tuple[str, str]]:

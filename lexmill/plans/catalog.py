@@ -281,7 +281,7 @@ def _model(spark, sf_dir):
     table, tokens, tokenizer = _examples(spark, sf_dir)
     counts, _ = write_table(nexttoken.split_counts(table), "pairs")
     model = nexttoken.next_model(counts.where(F.col("split") == "train"), tokenizer.vocab_size)
-    return model, counts, table, tokens, tokenizer
+    return model, counts, tokens, tokenizer
 
 
 def next_counts(spark, sf_dir):
@@ -290,15 +290,15 @@ def next_counts(spark, sf_dir):
 
 
 def cross_entropy(spark, sf_dir):
-    model, counts, _, _, tokenizer = _model(spark, sf_dir)
+    model, counts, _, tokenizer = _model(spark, sf_dir)
     loss = nexttoken.cross_entropy(counts, model, tokenizer.vocab_size)
     return loss.withColumn("loss", F.round("loss", 6))
 
 
 def eval_by_split(spark, sf_dir):
-    model, _, table, tokens, tokenizer = _model(spark, sf_dir)
+    model, _, tokens, tokenizer = _model(spark, sf_dir)
     files = flows.shard_files(tokens, N_SHARDS, 1)
-    batched = flows.leading_batches(table, files, CONTEXT, BATCH, EVAL_ITERS)
+    batched = flows.leading_batches(tokens, files, CONTEXT, BATCH, EVAL_ITERS)
     loss = nexttoken.eval_by_split(batched, model, tokenizer.vocab_size, EVAL_ITERS)
     return loss.withColumn("loss", F.round("loss", 6))
 

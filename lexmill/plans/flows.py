@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexmill.functions.text import strip
 from lexmill.operators import corpus, packing, shards, vocab
@@ -65,9 +65,9 @@ def shard_files(tokens: DataFrame, n_shards: int, workers: int) -> DataFrame:
     """``split, worker, file_no, shard, stream_len`` for every shard, empty ones included."""
     all_shards = shards.shard_list(tokens.sparkSession, n_shards)
     placed = shards.worker_slices(shards.split_shards(all_shards), workers)
-    # One row per shard, read several times below: stored, so tokens are counted once.
-    lengths, _ = write_table(packing.stream_lengths(tokens, all_shards), "lengths")
-    return placed.join(lengths, "shard")
+    files = placed.join(packing.stream_lengths(tokens, all_shards), "shard")
+    # One row per shard, read several times: stored, so that tokens are counted once.
+    return write_table(files.coalesce(1), "files")[0]
 
 
 def batch_table(files: DataFrame, context: int, batch_size: int, n_epochs: int) -> DataFrame:
@@ -81,18 +81,27 @@ BROADCAST_EXAMPLES = 1_000_000
 
 
 def leading_batches(
-    table: DataFrame, files: DataFrame, context: int, batch_size: int, n_batches: int
+    tokens: DataFrame, files: DataFrame, context: int, batch_size: int, n_batches: int
 ) -> DataFrame:
-    """Examples of the first ``n_batches`` batches of every split and worker, first epoch.
+    """``split, batch_id, x, y`` of the first ``n_batches`` batches of every split and worker.
 
-    Their number is fixed by the parameters; only a small number is broadcast.
+    Only the leading files of each worker are ordered and packed. Their examples are
+    bounded by the parameters; only a small number is broadcast.
     """
-    numbered = batch_table(files, context, batch_size, 1).where(F.col("batch_id") < n_batches)
+    n = packing.chunk_count(F.col("stream_len"), context)
+    w = Window.partitionBy("split", "worker").orderBy("file_no")
+    before = F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    leading = files.withColumn("_before", before).where(F.col("_before") < n_batches * batch_size)
+    leading, _ = write_table(leading.drop("_before").coalesce(1), "leading")
+    numbered = batch_table(leading, context, batch_size, 1).where(F.col("batch_id") < n_batches)
     wanted = numbered.select("shard", "chunk", "batch_id")
     workers = files.select("split", "worker").distinct().count()
     if n_batches * batch_size * workers <= BROADCAST_EXAMPLES:
         wanted = F.broadcast(wanted)
-    return table.join(wanted, ["shard", "chunk"])
+    needed = leading.select("shard", "split")
+    streams = packing.document_offsets(tokens.join(needed.select("shard"), "shard", "left_semi"))
+    table = packing.examples(packing.chunks(streams, context), context)
+    return table.join(wanted, ["shard", "chunk"]).join(needed, "shard").select("split", "batch_id", "x", "y")
 
 
 def split_summary(articles: DataFrame, n_shards: int, context: int) -> DataFrame:

@@ -98,13 +98,13 @@ class TokenWriter(DataSourceArrowWriter):
 
     def __init__(self, options: dict):
         self.location = options["path"]
+        self.job = uuid.uuid4().hex
 
     def write(self, iterator):
         import numpy as np
 
         files, folder = open_folder(self.location)
-        stage = f"{folder}/_attempt-{uuid.uuid4().hex}"
-        files.create_dir(stage, recursive=True)
+        stage = f"{folder}/_attempt-{self.job}-{uuid.uuid4().hex}"
         moves, current, out = [], None, None
         for batch in iterator:
             shards = batch.column(batch.schema.get_field_index("shard")).to_pylist()
@@ -113,6 +113,8 @@ class TokenWriter(DataSourceArrowWriter):
                 if shard != current:
                     if out is not None:
                         out.close()
+                    else:
+                        files.create_dir(stage, recursive=True)
                     name = f"shard_{shard}.bin"
                     if any(m[1].endswith("/" + name) for m in moves):
                         raise ValueError("rows of one shard must be next to each other")
@@ -133,15 +135,19 @@ class TokenWriter(DataSourceArrowWriter):
         for m in messages:
             for made, target in m.moves if m else []:
                 files.move(made, target)
-        self._drop_stages(messages)
+        self._drop_stages()
 
     def abort(self, messages):
-        self._drop_stages(messages)
+        self._drop_stages()
 
-    def _drop_stages(self, messages):
-        files, _ = open_folder(self.location)
-        for stage in {made.rsplit("/", 1)[0] for m in messages if m for made, _ in m.moves}:
-            files.delete_dir(stage)
+    def _drop_stages(self):
+        # Also those of attempts that failed or ran twice.
+        from pyarrow import fs
+
+        files, folder = open_folder(self.location)
+        for info in files.get_file_info(fs.FileSelector(folder)):
+            if f"/_attempt-{self.job}-" in info.path:
+                files.delete_dir(info.path)
 
 
 class TokbinSource(DataSource):
