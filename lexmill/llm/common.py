@@ -16,7 +16,8 @@ SLICE_ROWS = 512
 
 KINDS: dict[str, DataType] = {
     "long": LongType(), "int": IntegerType(), "string": StringType(), "binary": BinaryType(),
-    "double": DoubleType(), "longs": ArrayType(LongType()), "strings": ArrayType(StringType()),
+    "double": DoubleType(), "longs": ArrayType(LongType()), "doubles": ArrayType(DoubleType()), "ints": ArrayType(IntegerType()),
+    "strings": ArrayType(StringType()),
 }
 
 
@@ -34,18 +35,23 @@ def map_rows(df: DataFrame, schema: StructType, make: Callable[[], Callable]) ->
     """Apply a function to slices of rows, on the executors, with bounded memory.
 
     ``make()`` runs once per task and returns ``f(*columns) -> dict of lists`` that takes the
-    columns of ``df`` as Python lists. A slice may give any number of rows.
+    columns of ``df`` as Python lists. A slice may give any number of rows. If ``make()`` returns a
+    pair, its second function is called after the last slice and gives the last rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        apply = make()
+        made = make()
+        apply, finish = made if isinstance(made, tuple) else (made, None)
         target = to_arrow_schema(schema)
+
+        def table(out):
+            return pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in target], schema=target)
+
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 piece = batch.slice(start, SLICE_ROWS)
-                out = apply(*(c.to_pylist() for c in piece.columns))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], type=f.type) for f in target], schema=target
-                )
+                yield table(apply(*(c.to_pylist() for c in piece.columns)))
+        if finish:
+            yield table(finish())
 
     return df.mapInArrow(run, schema)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -154,6 +155,19 @@ def apply_policy(ledger: DataFrame, version: str, rules: Sequence[Rule] = RULES)
     )
 
 
+def keep_documents(docs: DataFrame, version: str, text_col: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, with all their columns; texts are measured as in the ledger."""
+    toxic = frozenset(w.encode() for w in TOXIC_WORDS)
+
+    @F.pandas_udf(MEASURES)
+    def measures(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measure(t or "", toxic) for t in texts], columns=MEASURES.fieldNames())
+
+    inner = docs.select(F.struct("*").alias("__row"), measures(F.col(text_col).cast("string")).alias("__m"))
+    judged = inner.select("__row", "__m.*").withColumn("failure_bits", failure_bits(rules))
+    return apply_policy(judged, version, rules).where("kept").select("__row.*")
+
+
 def ablations(ledger: DataFrame, version: str, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per rule of a policy: ``rule, failed, only_here, kept_without, always_with``.
 

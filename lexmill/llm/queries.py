@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import exact_dedup, extraction, quality, sharding, warc
+from lexmill.llm import byte_bpe, exact_dedup, extraction, jaccard_join, packing, private_data, quality, sharding, warc
 from lexmill.session import fresh_path, write_table
 
 POLICY = "v1"
@@ -36,6 +36,16 @@ def op2_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "path")
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes and link counts of all documents."""
+    return jaccard_join.similarity_classes(documents(spark, sf_dir))
+
+
+def op4_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents; the field is fitted to a bounded sample of them."""
+    return private_data.find_private_data(documents(spark, sf_dir))
+
+
 def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near-equal bytes."""
     placed = sharding.shard_records(documents(spark, sf_dir), SHARDS)
@@ -45,6 +55,16 @@ def op5_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded, as digests."""
+    return byte_bpe.token_digests(documents(spark, sf_dir))
+
+
+def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2,048 tokens."""
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 def op9_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as archives, read back and assembled to captures."""
     path = fresh_path(spark, "archive")
@@ -75,7 +95,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="max")
 
 
-QUERIES = [op1_quality_ledger, op2_host_paths, op5_sampled_splitters, op9_transactions, op10_exact_dedup]
+QUERIES = [
+    op1_quality_ledger, op2_host_paths, op3_chosen_path, op4_skip_chain, op5_sampled_splitters, op6_rank_queue,
+    op8_vector_packing, op9_transactions, op10_exact_dedup,
+]
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
