@@ -10,6 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType
 
 from lexmill.llm.common import columns
+from lexmill.session import write_table
 
 # Fixed values of the archive format.
 VERSION = "WARC/1.1"
@@ -215,26 +216,31 @@ def assemble(records: DataFrame) -> DataFrame:
     capture's few records are grouped. Records that lead to no capture give no row; a capture
     without request or metadata has null and an empty array; of several requests the first by id
     stays. All columns of ``records`` but concurrent_to go into the nested rows. ``records`` is
-    scanned several times, so pass a stored table.
+    scanned several times, so pass a stored table. No rows give no rows.
     """
     main = F.col("warc_type").isin(*PRIMARY)
-    ids = records.select("warc_type", "record_id", "concurrent_to")
-    captures = ids.where(main)
-    owner = captures.select(F.col("record_id").alias("part"), F.col("record_id").alias("capture_id")).unionByName(
-        captures.where("concurrent_to is not null").select(
+    body = F.struct("record_id", *[c for c in records.columns if c not in ("record_id", "concurrent_to")])
+    rows = records.select("warc_type", "record_id", "concurrent_to", body.alias("body"))
+    captures = rows.where(main)
+    own = captures.select(F.col("record_id").alias("part"), F.col("record_id").alias("capture_id")).distinct()
+    direct, _ = write_table(
+        rows.where(~main).join(own, F.col("concurrent_to") == F.col("part"), "left").drop("part"), "archive-links"
+    )
+    linked = captures.select(F.col("record_id").alias("capture_id"), "warc_type", "body").unionByName(
+        direct.where("capture_id is not null").select("capture_id", "warc_type", "body")
+    )
+    rest = direct.where("capture_id is null").drop("capture_id")
+    if not rest.isEmpty():
+        # The capture names the record, or the record names one whose capture is known by now.
+        named = captures.where("concurrent_to is not null").select(
             F.col("concurrent_to").alias("part"), F.col("record_id").alias("capture_id"))
-    ).distinct()
-    others = ids.where(~main)
-    near = others.join(owner, F.col("concurrent_to") == F.col("part")).select(
-        F.col("record_id").alias("part"), "capture_id")
-    known = owner.unionByName(near).distinct()
-    far = others.join(known, F.col("concurrent_to") == F.col("part")).select(
-        F.col("record_id").alias("part"), "capture_id")
-    all_parts = known.unionByName(far).groupBy("part").agg(F.min("capture_id").alias("capture_id"))
-
-    inner = [c for c in records.columns if c != "concurrent_to"]
-    body = F.struct("record_id", *[c for c in inner if c != "record_id"])
-    linked = records.join(all_parts, F.col("record_id") == F.col("part")).select("capture_id", "warc_type", body.alias("body"))
+        known = direct.where("capture_id is not null").select(F.col("record_id").alias("part"), "capture_id")
+        known = named.unionByName(known).groupBy("part").agg(F.min("capture_id").alias("capture_id"))
+        by_id = rest.join(known, F.col("record_id") == F.col("part"), "left").drop("part")
+        found = by_id.where("capture_id is not null")
+        hop = by_id.where("capture_id is null").drop("capture_id").join(
+            known, F.col("concurrent_to") == F.col("part")).drop("part")
+        linked = linked.unionByName(found.unionByName(hop).select("capture_id", "warc_type", "body"))
     pick = lambda kinds: F.sort_array(
         F.collect_list(F.when(F.col("warc_type").isin(*kinds), F.col("body"))))
     grouped = linked.groupBy("capture_id").agg(
