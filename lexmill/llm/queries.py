@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import byte_bpe, exact_dedup, extraction, jaccard_join, packing, private_data, quality, sharding, warc
+from lexmill.llm import byte_bpe, exact_dedup, extraction, jaccard_join, packing, private_data, quality, sharding, suffix_dedup, warc
 from lexmill.session import fresh_path, write_table
 
 POLICY = "v1"
@@ -60,6 +60,11 @@ def op6_rank_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(documents(spark, sf_dir))
 
 
+def op7_sparse_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that repeat across documents."""
+    return suffix_dedup.repeated_passages(documents(spark, sf_dir))
+
+
 def op8_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2,048 tokens."""
     return packing.pack_documents(documents(spark, sf_dir))
@@ -97,7 +102,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     op1_quality_ledger, op2_host_paths, op3_chosen_path, op4_skip_chain, op5_sampled_splitters, op6_rank_queue,
-    op8_vector_packing, op9_transactions, op10_exact_dedup,
+    op7_sparse_suffixes, op8_vector_packing, op9_transactions, op10_exact_dedup,
 ]
 
 ORACLE_SQL = {
