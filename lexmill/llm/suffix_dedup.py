@@ -106,33 +106,33 @@ def _contexts(source: DataFrame) -> DataFrame:
     return map_rows(source, schema, make)
 
 
-def _windows(rows: list[tuple]) -> list[tuple]:
-    """What neighbours can miss: for each suffix, its windows of ``LEAST`` words that another document has.
+def _windows(rows: list[tuple], wanted: list[int]) -> dict[int, tuple[int, int, int]]:
+    """What neighbours can miss: windows of ``LEAST`` words around a suffix that another document has.
 
     The longest match to the right need not be the longest in all. A window around a kept position
     starts at most ``WINDOW`` - 1 words before it, so equal windows are found by their words, one
-    offset at a time. Windows of one suffix overlap; they are given as one run.
+    offset at a time. Windows of one suffix overlap; they are given as words to the left and right.
     """
-    low, high, partner = {}, {}, {}
+    found: dict[int, tuple[int, int, int]] = {}
     for d in range(WINDOW):
         left, right = 4 * d, 4 * (LEAST - d)
-        seen: dict[bytes, list[int]] = {}  # the first suffix, and the first one of another document
-        keys = []
-        for k, (after, before, *own) in enumerate(rows):
-            key = before[:left] + after[:right] if len(before) >= left and len(after) >= right else None
-            keys.append(key)
-            if key is not None:
-                first = seen.setdefault(key, [k])
-                if len(first) == 1 and tuple(own[:2]) != rows[first[0]][2:4]:
-                    first.append(k)
-        for k, key in enumerate(keys):
-            if key is not None and len(both := seen[key]) == 2:
-                low.setdefault(k, d)
-                high[k] = d
-                partner[k] = both[0] if rows[both[0]][2:4] != rows[k][2:4] else both[1]
-    return [
-        (rows[k][2], rows[k][3], rows[k][4] - high[k], rows[k][4] + LEAST - low[k], rows[partner[k]][2]) for k in low
-    ]
+        at = [k for k in wanted if len(rows[k][1]) >= left and len(rows[k][0]) >= right]
+        if not at:
+            continue
+        seen: dict[bytes, list[int]] = {rows[k][1][:left] + rows[k][0][:right]: [] for k in at}
+        for k, row in enumerate(rows):  # of each window the first suffix, and the first of another document
+            first = seen.get(row[1][:left] + row[0][:right])
+            if first is not None and len(row[1]) >= left and (
+                not first or len(first) == 1 and row[2:4] != rows[first[0]][2:4]
+            ):
+                first.append(k)
+        for k in at:
+            both = seen[rows[k][1][:left] + rows[k][0][:right]]
+            if len(both) == 2:
+                partner = both[0] if rows[both[0]][2:4] != rows[k][2:4] else both[1]
+                l, r, _ = found.get(k, (d, LEAST - d, partner))
+                found[k] = max(l, d), max(r, LEAST - d), partner
+    return found
 
 
 def _neighbours(groups: DataFrame) -> DataFrame:
@@ -162,15 +162,25 @@ def _neighbours(groups: DataFrame) -> DataFrame:
                     if last is not None and rows[last][2:4] != own:
                         other = last
                     last = k
+            runs: dict[int, tuple[int, int, int]] = {}  # of each suffix: words to the left and right, partner
             for i, j in pairs:
-                a, b = rows[i], rows[j]
-                right = _common(a[0], b[0])
-                left = _common(a[1], b[1])
+                right, left = _common(rows[i][0], rows[j][0]), _common(rows[i][1], rows[j][1])
                 if left + right >= LEAST:
-                    for x, y in ((a, b), (b, a)):
-                        out.append((x[2], x[3], x[4] - left, x[4] + right, y[2]))
-            if len(rows) > 2:
-                out += _windows(rows)
+                    for x, y in ((i, j), (j, i)):
+                        l, r, _ = runs.get(x, (0, 0, y))
+                        runs[x] = max(l, left), max(r, right), y
+            # A run that reaches as far as windows do gains nothing from them.
+            open_rows = [
+                k for k, (after, before, *_) in enumerate(rows)
+                if (run := runs.get(k, (-1, -1, k)))[0] < min(WINDOW - 1, len(before) // 4)
+                or run[1] < min(LEAST, len(after) // 4)
+            ]
+            if len(rows) > 2 and open_rows:
+                for k, (left, right, y) in _windows(rows, open_rows).items():
+                    l, r, _ = runs.get(k, (0, 0, y))
+                    runs[k] = max(l, left), max(r, right), y
+            for k, (left, right, y) in runs.items():
+                out.append((rows[k][2], rows[k][3], rows[k][4] - left, rows[k][4] + right, rows[y][2]))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(zip(*out), target)], schema=target
