@@ -35,10 +35,12 @@ class PairRanking:
     a created pair could come first.
     """
 
-    def __init__(self, pairs: list[tuple[int, str, str]], complete: bool, pieces: set[str]):
+    def __init__(self, pairs: list[tuple[int, str, str]], complete: bool, pieces: set[str],
+                 max_piece: int = MAX_PIECE):
         self.pairs = sorted(pairs, key=lambda p: (-p[0], p[1], p[2]))
         self.floor = None if complete else self.pairs[-1][0]
         self.pieces = pieces
+        self.max_piece = max_piece
         self.level: dict[int, tuple[dict, dict]] = {}
         for n, a, b in self.pairs:
             by_first, by_second = self.level.setdefault(n, (defaultdict(list), defaultdict(list)))
@@ -68,7 +70,7 @@ class PairRanking:
                 return taken or None
             if a in seconds or b in firsts:
                 break
-            if len(a + b) > MAX_PIECE or a + b in self.pieces or a + b in made:
+            if len(a + b) > self.max_piece or a + b in self.pieces or a + b in made:
                 barred_first.add(a)
                 barred_second.add(b)
                 continue
@@ -149,7 +151,9 @@ class SegmentState:
             drop_table(self.spark, path)
 
 
-def learn_merges(segments: DataFrame, n_merges: int, alphabet: set[str]) -> list[tuple[str, str]]:
+def learn_merges(
+    segments: DataFrame, n_merges: int, alphabet: set[str], max_piece: int = MAX_PIECE
+) -> list[tuple[str, str]]:
     """The ordered merge list: most frequent pair first, ties by the pieces themselves."""
     code = {c: c for c in alphabet}
     piece = dict(code)
@@ -157,25 +161,27 @@ def learn_merges(segments: DataFrame, n_merges: int, alphabet: set[str]) -> list
     merges: list[tuple[str, str]] = []
     width = RANKED_PAIRS
     state = SegmentState(segments)
-    while len(merges) < n_merges:
-        if len(state.pending) >= PENDING_MERGES:
-            state.settle(code)
-        ranked = state.pair_counts(code).orderBy(F.desc("n"), "p").limit(width).collect()
-        pairs = [(r["n"], piece[r["p"][0]], piece[r["p"][1]]) for r in ranked]
-        if not pairs:
-            break
-        new = PairRanking(pairs, len(pairs) < width, set(code)).take(n_merges - len(merges))
-        if new is None:
-            width *= 2
-            continue
-        if not new:
-            break
-        for a, b in new:
-            code[a + b] = next(free)
-            piece[code[a + b]] = a + b
-        merges += new
-        state.pending += new
-    state.close()
+    try:
+        while len(merges) < n_merges:
+            if len(state.pending) >= PENDING_MERGES:
+                state.settle(code)
+            ranked = state.pair_counts(code).orderBy(F.desc("n"), "p").limit(width).collect()
+            pairs = [(r["n"], piece[r["p"][0]], piece[r["p"][1]]) for r in ranked]
+            if not pairs:
+                break
+            new = PairRanking(pairs, len(pairs) < width, set(code), max_piece).take(n_merges - len(merges))
+            if new is None:
+                width *= 2
+                continue
+            if not new:
+                break
+            for a, b in new:
+                code[a + b] = next(free)
+                piece[code[a + b]] = a + b
+            merges += new
+            state.pending += new
+    finally:
+        state.close()
     return merges
 
 
@@ -190,19 +196,24 @@ def vocab_rows(merges: list[str], alphabet: list[str]) -> list[tuple[int, str, f
     ]
 
 
-def train_vocab(words: DataFrame, vocab_size: int) -> DataFrame:
-    """``id, piece, score, kind`` from a ``word, n`` table, with full character coverage."""
+def train_vocab(words: DataFrame, vocab_size: int, max_piece: int = MAX_PIECE) -> DataFrame:
+    """``id, piece, score, kind`` from a ``word, n`` table, with full character coverage.
+
+    No piece is longer than ``max_piece`` characters (default 16, the word-start mark included).
+    """
     if not 0 < vocab_size <= MAX_VOCAB:
         raise ValueError("vocabulary size must be positive and at most 65536")
     spark = words.sparkSession
     words, path = write_table(words, "words")
-    top = covered_alphabet(word_alphabet(words)).orderBy("rank").limit(MAX_VOCAB).collect()
-    alphabet = [r["ch"] for r in top]
-    n_merges = vocab_size - FIRST_MERGE_ID - len(alphabet)
-    if n_merges < 0:
-        raise ValueError(f"{vocab_size} ids cannot hold bytes and {len(alphabet)} characters")
-    merges = learn_merges(segment_counts(words), n_merges, set(alphabet))
-    drop_table(spark, path)
+    try:
+        top = covered_alphabet(word_alphabet(words)).orderBy("rank").limit(MAX_VOCAB).collect()
+        alphabet = [r["ch"] for r in top]
+        n_merges = vocab_size - FIRST_MERGE_ID - len(alphabet)
+        if n_merges < 0:
+            raise ValueError(f"{vocab_size} ids cannot hold bytes and {len(alphabet)} characters")
+        merges = learn_merges(segment_counts(words), n_merges, set(alphabet), max_piece)
+    finally:
+        drop_table(spark, path)
     if len(merges) < n_merges:
         raise ValueError(f"the text yields {len(merges)} merges, {n_merges} are needed")
     rows = vocab_rows([a + b for a, b in merges], alphabet)

@@ -58,18 +58,27 @@ def eval_by_split(
     batched_examples: DataFrame,
     model: DataFrame,
     vocab_size: int,
-    eval_iters: int = 100,
+    eval_iters: int | None = 100,
     alpha: float = 1.0,
 ) -> DataFrame:
-    """Mean over the first ``eval_iters`` batches of each split of the batch mean loss."""
-    counted = (
-        token_pairs(batched_examples.where(F.col("batch_id") < eval_iters), "split", "batch_id")
-        .groupBy("split", "batch_id", "x", "y")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
+    """Mean over the first ``eval_iters`` batches (``None``: all) of each split of the batch mean loss.
+
+    Batches of several loader workers are taken in turn, as a loader hands them out: the first
+    batch of every worker, then the second ones.
+    """
+    key = ["split", "worker", "batch_id"]
+    taken = batched_examples
+    if "worker" not in taken.columns:
+        taken = taken.withColumn("worker", F.lit(0))
+    if eval_iters is not None:
+        taken = taken.where(F.col("batch_id") < eval_iters)
+        turn = F.row_number().over(Window.partitionBy("split").orderBy("batch_id", "worker"))
+        first = taken.select(*key).distinct().withColumn("turn", turn)  # eval_iters rows for each worker
+        taken = taken.join(first.where(F.col("turn") <= eval_iters).drop("turn"), key)
+    counted = token_pairs(taken, *key).groupBy(*key, "x", "y").agg(F.count(F.lit(1)).alias("m"))
     per_batch = (
         score_pairs(counted, model, vocab_size, alpha)
-        .groupBy("split", "batch_id")
+        .groupBy(*key)
         .agg((F.sum(F.col("m") * F.col("nll")) / F.sum("m")).alias("batch_loss"))
     )
     return per_batch.groupBy("split").agg(

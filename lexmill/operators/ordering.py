@@ -8,6 +8,7 @@ its own. Work spreads over blocks, so one group may hold any share of the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -150,11 +151,11 @@ def kth_smallest(df: DataFrame, column: str, k: int, bins: int = 1024) -> int |
 
 
 def leading_fraction(df: DataFrame, column: str, fraction: float) -> DataFrame:
-    """The first ``round(n * fraction)`` rows by a unique bigint column.
+    """The first ``floor(n * fraction + 0.5)`` rows by a unique bigint column.
 
     The result is a plain range filter, so it reaches the scan and moves no row.
     """
-    k = round(df.count() * fraction)
+    k = math.floor(df.count() * fraction + 0.5)
     last = kth_smallest(df, column, k) if k else None
     return df.where(F.lit(False)) if last is None else df.where(F.col(column) <= F.lit(last))
 

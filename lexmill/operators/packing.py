@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexmill.functions.arith import div
 from lexmill.operators.ordering import hash_block, running_offset
+from lexmill.session import task_count
 
 UINT16_MAX = 65_535
 SPAN = 65_536  # chunk numbers produced per row when a stream is enumerated
@@ -124,7 +125,8 @@ def chunk_list(lengths: DataFrame, context: int) -> DataFrame:
         .select(*rest, "_n", F.explode(F.sequence(F.lit(0), div(F.col("_n") - 1, SPAN))).alias("_s"))
     )
     if "shard" in rest:
-        spans = spans.repartition("shard", "_s")
+        # An explicit number: adaptive execution would merge these few bytes into one task.
+        spans = spans.repartition(task_count(spans.sparkSession), "shard", "_s")
     low = F.col("_s") * SPAN
     high = F.least(low + SPAN, F.col("_n")) - 1
     return spans.select(*rest, F.explode(F.sequence(low, high)).alias("chunk"))

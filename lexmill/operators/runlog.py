@@ -90,8 +90,16 @@ def running_average(
 
     The first ``skip`` steps are left out. Inside a block the recurrence is a running sum
     of values weighted by ``decay ** -i``. Blocks are long enough that a value fades by
-    1e-100 per block, so three block ends carry everything a double can hold.
+    1e-100 per block, so three block ends carry everything a double can hold. A null value is
+    an error; with a decay of 1 the first value stays.
     """
+    if not 0 < decay <= 1:
+        raise ValueError("decay must be above 0 and at most 1")
+    missing = F.raise_error(F.lit("a value of the run log is null"))
+    log = log.withColumn(value, F.when(F.col(value).isNull(), missing).otherwise(F.col(value)))
+    if decay == 1:  # the first kept value stays
+        first = F.first(value).over(Window.partitionBy("run").orderBy("step"))
+        return log.where(F.col("step") >= skip).withColumn("ema", first)
     length = max(1, math.floor(100 * math.log(10) / -math.log(decay)))
     fade = decay**length
     carried = 3

@@ -29,9 +29,6 @@ TOP_K = 5
 TEMPERATURE = 0.8
 DRAW_SEED = 1337
 EVERY = 10
-# Losses have two decimals, so averages often lie midway between two rounded values;
-# the shift settles those ties the same way on every engine.
-TIE_SHIFT = 3.3e-8
 
 
 def ids_text(column: str):
@@ -147,8 +144,8 @@ def char_roundtrip(spark, sf_dir):
 
 
 def doc_offsets(spark, sf_dir):
-    tokens = _stored_char_tokens(spark, sf_dir)[0].select("shard", "ord", "doc_id", "n")
-    return packing.document_offsets(tokens).select("shard", "doc_id", "offset", "n", "stream_len")
+    lengths = _char_tokens(spark, sf_dir).select("shard", "ord", "doc_id", "n")
+    return packing.document_offsets(write_table(lengths, "lengths")[0]).select("shard", "doc_id", "offset", "n", "stream_len")
 
 
 def uint16_violations(spark, sf_dir):
@@ -339,9 +336,14 @@ def run_best(spark, sf_dir):
     return runlog.best_so_far(_log(spark, sf_dir)).select("run", "step", "improved", "saved")
 
 
+def _six(column: str):
+    """Six digits by way of ten in decimals, so that midway values round alike on every engine."""
+    return F.round(F.round(column, 10).cast("decimal(20,10)"), 6).cast("double")
+
+
 def run_ema(spark, sf_dir):
     averaged = runlog.running_average(_log(spark, sf_dir))
-    return averaged.select("run", "step", F.round(F.col("ema") + TIE_SHIFT, 6).alias("ema"))
+    return averaged.select("run", "step", _six("ema").alias("ema"))
 
 
 def _shard_files(spark, sf_dir, n_shards):
@@ -391,7 +393,7 @@ def stream_counts(spark, sf_dir):
         files_per_batch=4,
     )
     run.awaitTermination()
-    return spark.read.parquet(target)
+    return streaming.latest_counts(spark, target)
 
 
 def split_summary(spark, sf_dir):

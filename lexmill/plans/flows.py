@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lexmill.functions.text import strip
 from lexmill.operators import corpus, packing, shards, vocab
 from lexmill.operators.bpe import encode_table
-from lexmill.operators.bpe_train import train_vocab
+from lexmill.operators.bpe_train import MAX_PIECE, train_vocab
 from lexmill.operators.chars import CharTokenizer
 from lexmill.session import spread, write_table
 from lexmill.sources.corpus import raw_articles
@@ -23,16 +22,24 @@ def char_tokenizer(articles: DataFrame) -> CharTokenizer:
     return CharTokenizer.from_vocab(vocab.character_vocab(articles, "content"))
 
 
-def lines_for_training(articles: DataFrame) -> DataFrame:
-    return corpus.short_lines(corpus.training_lines(articles))
+def lines_for_training(articles: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """All lines; with ``max_bytes`` longer ones are left out."""
+    lines = corpus.training_lines(articles)
+    return lines if max_bytes is None else corpus.short_lines(lines, max_bytes)
 
 
-def bpe_vocab(articles: DataFrame, vocab_size: int) -> DataFrame:
-    """Lines, sample bound, word counts, merges: a vocabulary from whole articles."""
-    lines = lines_for_training(articles)
-    if lines.count() > vocab.MAX_SAMPLE_LINES:
-        lines = vocab.sample_lines(lines, vocab.MAX_SAMPLE_LINES)
-    return train_vocab(vocab.word_counts(lines), vocab_size)
+def bpe_vocab(
+    articles: DataFrame, vocab_size: int, max_bytes: int | None = None, sample: int | None = None,
+    max_piece: int = MAX_PIECE,
+) -> DataFrame:
+    """Lines, word counts, merges: a vocabulary from whole articles.
+
+    All lines count unless the caller sets a line limit or a number of sampled lines.
+    """
+    lines = lines_for_training(articles, max_bytes)
+    if sample is not None:
+        lines = vocab.sample_lines(lines, sample)
+    return train_vocab(vocab.word_counts(lines), vocab_size, max_piece)
 
 
 def prepare_shuffle(raw: DataFrame, path: str, n_shards: int = shards.DEFAULT_SHARDS,
@@ -67,7 +74,7 @@ def shard_files(tokens: DataFrame, n_shards: int, workers: int) -> DataFrame:
     placed = shards.worker_slices(shards.split_shards(all_shards), workers)
     files = placed.join(packing.stream_lengths(tokens, all_shards), "shard")
     # One row per shard, read several times: stored, so that tokens are counted once.
-    return write_table(files.coalesce(1), "files")[0]
+    return write_table(files.repartition(1), "files")[0]
 
 
 def batch_table(files: DataFrame, context: int, batch_size: int, n_epochs: int) -> DataFrame:
@@ -83,7 +90,7 @@ BROADCAST_EXAMPLES = 1_000_000
 def leading_batches(
     tokens: DataFrame, files: DataFrame, context: int, batch_size: int, n_batches: int
 ) -> DataFrame:
-    """``split, batch_id, x, y`` of the first ``n_batches`` batches of every split and worker.
+    """``split, worker, batch_id, x, y`` of the first ``n_batches`` batches of every split and worker.
 
     Only the leading files of each worker are ordered and packed. Their examples are
     bounded by the parameters; only a small number is broadcast.
@@ -92,16 +99,18 @@ def leading_batches(
     w = Window.partitionBy("split", "worker").orderBy("file_no")
     before = F.coalesce(F.sum(n).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     leading = files.withColumn("_before", before).where(F.col("_before") < n_batches * batch_size)
-    leading, _ = write_table(leading.drop("_before").coalesce(1), "leading")
+    leading, _ = write_table(leading.drop("_before").repartition(1), "leading")
     numbered = batch_table(leading, context, batch_size, 1).where(F.col("batch_id") < n_batches)
     wanted = numbered.select("shard", "chunk", "batch_id")
     workers = files.select("split", "worker").distinct().count()
     if n_batches * batch_size * workers <= BROADCAST_EXAMPLES:
         wanted = F.broadcast(wanted)
-    needed = leading.select("shard", "split")
+    needed = leading.select("shard", "split", "worker")
     streams = packing.document_offsets(tokens.join(needed.select("shard"), "shard", "left_semi"))
     table = packing.examples(packing.chunks(streams, context), context)
-    return table.join(wanted, ["shard", "chunk"]).join(needed, "shard").select("split", "batch_id", "x", "y")
+    return table.join(wanted, ["shard", "chunk"]).join(needed, "shard").select(
+        "split", "worker", "batch_id", "x", "y"
+    )
 
 
 def split_summary(articles: DataFrame, n_shards: int, context: int) -> DataFrame:

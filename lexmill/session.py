@@ -42,7 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; ``drop_written`` removes what is written there."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -50,12 +53,11 @@ def write_table(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
 def drop_written(spark: SparkSession) -> None:
-    """Remove all tables this session wrote with ``write_table``; their scans end here."""
+    """Remove all that this session wrote to fresh paths; scans of it end here."""
     for path in _written.pop(spark.sparkContext.applicationId, []):
         drop_table(spark, path)
 
@@ -78,6 +80,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    p, fs = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Remove a table that ``write_table`` made and that nothing reads any more."""
     if path.startswith(shared_folder(spark)):

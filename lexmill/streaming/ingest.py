@@ -12,7 +12,7 @@ from lexmill import schemas
 from lexmill.functions.text import strip
 from lexmill.operators.ordering import running_offset
 from lexmill.operators.packing import chunks, examples
-from lexmill.session import drop_table, write_table
+from lexmill.session import drop_table, folder_names, path_exists, write_table
 
 
 def shard_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
@@ -77,8 +77,11 @@ def ingest(
 def running_counts(
     spark: SparkSession, folder: str, target: str, checkpoint: str, tokenizer, files_per_batch: int = 1
 ):
-    """Documents and tokens per shard so far, kept in the state store; the target table
-    always holds the latest complete result."""
+    """Documents and tokens per shard so far, kept in the state store.
+
+    Each batch writes its complete result to a folder of its own; ``latest_counts`` reads the
+    newest one that was finished, so a failed write leaves the one before.
+    """
     tokens = tokenizer.encode(strip(F.col("content")), bos=True, eos=True)
     counts = (
         shard_stream(spark, folder, files_per_batch)
@@ -88,7 +91,7 @@ def running_counts(
     )
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
         counts.writeStream.outputMode("complete")
@@ -97,3 +100,12 @@ def running_counts(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_counts(spark: SparkSession, target: str) -> DataFrame:
+    """The newest complete result of ``running_counts``."""
+    done = [n for n in folder_names(spark, target) if path_exists(spark, f"{target}/{n}/_SUCCESS")]
+    if not done:
+        raise FileNotFoundError(f"no complete result in {target}")
+    newest = max(done, key=lambda name: int(name.removeprefix("batch=")))
+    return spark.read.parquet(f"{target}/{newest}")

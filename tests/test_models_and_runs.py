@@ -38,6 +38,12 @@ def test_eval_takes_the_mean_of_batch_means(spark):
     first = -math.log(3 / 6)
     second = -(2 * math.log(2 / 6) + math.log(1 / 6)) / 3
     assert r["n_batches"] == 2 and math.isclose(r["loss"], (first + second) / 2)
+    third = -math.log(1 / 6)
+    assert math.isclose(nexttoken.eval_by_split(batched, model, 4, None).first()["loss"], (first + second + third) / 3)
+    # Two workers hand out their first batches before the second one of the first worker.
+    shared = batched.withColumn("worker", F.expr("if(batch_id = 1, 1, 0)")).withColumn(
+        "batch_id", F.expr("case batch_id when 2 then 1L else 0L end"))
+    assert math.isclose(nexttoken.eval_by_split(shared, model, 4, 2).first()["loss"], (first + second) / 2)
 
 
 def scores(spark, values):
