@@ -26,6 +26,9 @@ TOKENS = 128
 SMALL = 200
 #: Longest path. What is still large then is one group of candidates.
 DEPTH = 4
+#: Part of a bucket that a child holds if its members are alike; splitting such a child gains nothing,
+#: so it is one group of candidates.
+ALIKE = 0.5
 #: Standard deviations below the threshold at which a sketch still passes.
 SLACK = 4.0
 #: Sets, and shingles, of a block in the exact comparison.
@@ -203,7 +206,7 @@ def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
 
     All runs walk down together: the rows of a level are (bucket, text). A bucket with one member
     ends, a small one is compared by sketches, and a larger one is split by the tokens that it
-    samples. Runs are repeated, should the deepest level need more of them for the recall.
+    samples, unless the last split hardly made it smaller. Runs are repeated, should the deepest level need more of them for the recall.
     """
     spark = texts.sparkSession
     parts = task_count(spark)
@@ -212,12 +215,12 @@ def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
     while done < (need := runs_needed(depth, recall)):
         roots = F.explode(F.transform(F.sequence(F.lit(done), F.lit(need - 1)), lambda r: F.xxhash64(r, F.lit(SEED))))
         level = filled.select("key", "tokens", roots.alias("root"))
-        level = level.select("key", _children(F.col("root"), F.col("tokens"), 0))
+        level = level.select("key", F.lit(None).cast("long").alias("above"), _children(F.col("root"), F.col("tokens"), 0))
         done = need
         for d in range(1, DEPTH + 1):
             rows, _ = write_table(level, "buckets")
-            sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("pivot"))
-            members, _ = write_table(rows.join(sizes.where("members > 1"), "node"), "shared-buckets")
+            sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("pivot"), F.max("above").alias("above"))
+            members, _ = write_table(rows.drop("above").join(sizes.where("members > 1"), "node"), "shared-buckets")
             small = members.where(F.col("members") <= SMALL).select("node", "key").join(
                 filled.select("key", _sketch(F.col("tokens")).alias("sketch")), "key"
             )
@@ -226,12 +229,14 @@ def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
             large = members.where(F.col("members") > SMALL)
             if large.isEmpty():
                 break
-            if d == DEPTH:
-                found.append(large.select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+            whole = F.lit(True) if d == DEPTH else F.coalesce(F.col("members") >= ALIKE * F.col("above"), F.lit(False))
+            found.append(large.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+            large = large.where(~whole)
+            if large.isEmpty():
                 break
             depth = max(depth, d + 1)
-            level = large.select("node", "key").join(filled, "key").select(
-                "key", _children(F.col("node"), F.col("tokens"), d)
+            level = large.select("node", "key", "members").join(filled, "key").select(
+                "key", F.col("members").alias("above"), _children(F.col("node"), F.col("tokens"), d)
             )
     edges = found[0]
     for more in found[1:]:
