@@ -13,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from lexmill.llm.common import columns, map_rows, text_or_empty
 from lexmill.llm.graph import components
-from lexmill.session import task_count, write_table
+from lexmill.session import drop_table, task_count, write_table
 
 #: Words of a shingle, and the similarity of a link.
 SHINGLE = 5
@@ -25,9 +25,9 @@ TOKENS = 128
 #: Members of a bucket that are compared all with all; larger buckets are split further.
 SMALL = 200
 #: Longest path. What is still large then is one group of candidates.
-DEPTH = 4
-#: Part of a bucket that a child holds if its members are alike; splitting such a child gains nothing,
-#: so it is one group of candidates.
+DEPTH = 12
+#: Part of a bucket's members that must resemble its pivot if the bucket is to be one group of candidates:
+#: splitting near copies gains nothing, while texts that only share a passage part on other tokens.
 ALIKE = 0.5
 #: Standard deviations below the threshold at which a sketch still passes.
 SLACK = 4.0
@@ -175,7 +175,7 @@ def _compare_sketches(buckets: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` between members of a small bucket whose sketches agree enough; a forest per bucket."""
     schema = columns(a="long", b="long")
     target = to_arrow_schema(schema)
-    least = TOKENS * SIMILARITY - SLACK * math.sqrt(TOKENS * SIMILARITY * (1 - SIMILARITY))
+    least = _agreement()
 
     def run(batches):
         a, b = [], []
@@ -201,43 +201,65 @@ def _sketch(tokens):
     return F.unhex(F.array_join(F.transform(tokens, lambda t: F.lpad(F.hex(t.bitwiseAND(F.lit(255))), 2, "0")), ""))
 
 
+def _agreement() -> float:
+    """Tokens in which two texts agree at least if they may be linked."""
+    return TOKENS * SIMILARITY - SLACK * math.sqrt(TOKENS * SIMILARITY * (1 - SIMILARITY))
+
+
+def _near_pivot(large: DataFrame, filled: DataFrame) -> DataFrame:
+    """``node, key, pivot, alike``: whether most members of the large bucket resemble its pivot."""
+    pivots = filled.select(F.col("key").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
+    agree = F.size(F.filter(F.zip_with("tokens", "pivot_tokens", lambda s, t: s == t), lambda same: same))
+    near, _ = write_table(
+        large.join(filled, "key").join(pivots, "pivot").select("node", "key", "pivot", (agree >= _agreement()).alias("near")),
+        "large-buckets",
+    )
+    share = near.groupBy("node").agg((F.avg(F.col("near").cast("int")) >= ALIKE).alias("alike"))
+    return near.join(share, "node").select("node", "key", "pivot", "alike")
+
+
 def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
     """Edges ``(a, b)`` that connect all texts whose link was found in some run.
 
     All runs walk down together: the rows of a level are (bucket, text). A bucket with one member
     ends, a small one is compared by sketches, and a larger one is split by the tokens that it
-    samples, unless the last split hardly made it smaller. Runs are repeated, should the deepest level need more of them for the recall.
+    samples, unless most members resemble its pivot. Deep paths need more runs for the recall;
+    those take only the texts that shared a large bucket, as all links of the others ended at the
+    first level. Each of these two groups may lose half of what the recall leaves.
     """
     spark = texts.sparkSession
     parts = task_count(spark)
     filled = texts.where("tokens is not null").select("key", "tokens")
-    found, done, depth = [], 0, 1
-    while done < (need := runs_needed(depth, recall)):
+    pool, found, done, depth = filled, [], 0, 1
+    while done < (need := runs_needed(depth, (1 + recall) / 2)):
         roots = F.explode(F.transform(F.sequence(F.lit(done), F.lit(need - 1)), lambda r: F.xxhash64(r, F.lit(SEED))))
-        level = filled.select("key", "tokens", roots.alias("root"))
-        level = level.select("key", F.lit(None).cast("long").alias("above"), _children(F.col("root"), F.col("tokens"), 0))
+        level = pool.select("key", "tokens", roots.alias("root"))
+        level = level.select("key", _children(F.col("root"), F.col("tokens"), 0))
         done = need
         for d in range(1, DEPTH + 1):
-            rows, _ = write_table(level, "buckets")
-            sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("pivot"), F.max("above").alias("above"))
-            members, _ = write_table(rows.drop("above").join(sizes.where("members > 1"), "node"), "shared-buckets")
+            rows, rows_path = write_table(level, "buckets")
+            sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("pivot"))
+            members, members_path = write_table(rows.join(sizes.where("members > 1"), "node"), "shared-buckets")
+            drop_table(spark, rows_path)
             small = members.where(F.col("members") <= SMALL).select("node", "key").join(
                 filled.select("key", _sketch(F.col("tokens")).alias("sketch")), "key"
             )
             small = small.select("node", "key", "sketch").repartition(parts, "node").sortWithinPartitions("node", "key")
             found.append(write_table(_compare_sketches(small).distinct(), "candidates")[0])
             large = members.where(F.col("members") > SMALL)
-            if large.isEmpty():
-                break
-            whole = F.lit(True) if d == DEPTH else F.coalesce(F.col("members") >= ALIKE * F.col("above"), F.lit(False))
-            found.append(large.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")))
-            large = large.where(~whole)
+            judged, _ = write_table(_near_pivot(large, filled), "judged-buckets")
+            drop_table(spark, members_path)
+            if d == 1:
+                crowded = judged.select("key").distinct()
+            whole = F.lit(True) if d == DEPTH else F.col("alike")
+            found.append(judged.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")))
+            large = judged.where(~whole)
             if large.isEmpty():
                 break
             depth = max(depth, d + 1)
-            level = large.select("node", "key", "members").join(filled, "key").select(
-                "key", F.col("members").alias("above"), _children(F.col("node"), F.col("tokens"), d)
-            )
+            level = large.join(filled, "key").select("key", _children(F.col("node"), F.col("tokens"), d))
+        if pool is filled:
+            pool, _ = write_table(filled.join(crowded, "key"), "crowded-texts")
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
