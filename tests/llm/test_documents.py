@@ -170,6 +170,21 @@ def _connected(near, i, j):
     return j in reach
 
 
+def test_a_common_passage_makes_no_large_group_of_candidates(spark, monkeypatch):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = [word() for _ in range(40)]
+    rows = [(k, " ".join([word() for _ in range(60)] + passage)) for k in range(60)]
+    rows += [(100 + k, rows[k][1] + " " + word()) for k in range(5)]
+    monkeypatch.setattr(jaccard_join, "SMALL", 8)
+    _, texts = jaccard_join.sets_of(frame(spark, rows), "doc_id", "text")
+    groups = graph.components(jaccard_join.candidates(texts)).join(texts, F.col("key") == F.col("node"))
+    found = collections.defaultdict(set)
+    for r in groups.select("root", "rep_id").collect():
+        found[r.root].add(r.rep_id)
+    assert sorted(map(sorted, found.values())) == [[k, 100 + k] for k in range(5)]
+
+
 def test_runs_follow_recall():
     assert jaccard_join.runs_needed(1, 0.9) == 3
     assert jaccard_join.runs_needed(2, 0.999) > jaccard_join.runs_needed(1, 0.999)
