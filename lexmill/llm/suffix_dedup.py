@@ -22,7 +22,7 @@ WINDOW = LEAST - STEM + 1
 #: window apart, so what one context cannot show, that of the next position does.
 LEFT = 50
 RIGHT = LEAST + WINDOW
-#: Suffixes of a group that are sorted together.
+#: Suffixes of a group that are sorted together; of larger ones the windows are counted.
 TOGETHER = 20_000
 #: Words on one side by which a larger group is dealt: of ``LEAST`` words beyond the stem, one side has them.
 SIDE = (LEAST - STEM) // 2
@@ -189,6 +189,37 @@ def _neighbours(groups: DataFrame) -> DataFrame:
     return groups.mapInArrow(run, schema)
 
 
+def _equal_windows(crowded: DataFrame) -> DataFrame:
+    """``id, h, start, stop, other_id``: what suffixes too many to sort together share, found by counting.
+
+    Each window of ``LEAST`` words around a stem is a row; those of one document only are dropped as
+    stems are. Windows with ``SIDE`` words or more before the stem come from the deal by the words
+    before, the others from the deal by those behind.
+    """
+
+    def window(d: int):
+        whole = (F.length("before") >= 4 * d) & (F.length("after") >= 4 * (LEAST - d))
+        words = F.xxhash64(F.lit(d), F.substring("before", 1, 4 * d), F.substring("after", 1, 4 * (LEAST - d)))
+        return F.when(whole, F.struct(F.lit(d).alias("d"), words.alias("words")))
+
+    own = F.when(F.col("side") == 1, F.array(*map(window, range(SIDE, WINDOW)))).otherwise(
+        F.array(*map(window, range(SIDE)))
+    )
+    windows = crowded.select("id", "h", "stem", "at", F.explode(own).alias("w")).where("w is not null").select(
+        "id", "h", "stem", "at", "w.d", "w.words", F.xxhash64("id", "h").alias("document")
+    )
+    ends = F.struct("document", "id")
+    shared, _ = write_table(
+        windows.groupBy("stem", "words").agg(F.min(ends).alias("low"), F.max(ends).alias("high"))
+        .where("low.document <> high.document"), "shared-windows",
+    )
+    start = F.col("at") - F.col("d")
+    other = F.when(F.col("low.document") != F.col("document"), F.col("low.id")).otherwise(F.col("high.id"))
+    return windows.join(shared, ["stem", "words"]).groupBy("id", "h", "at").agg(
+        F.min(start).alias("start"), F.max(start + LEAST).alias("stop"), F.min(other).alias("other_id")
+    ).drop("at")
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per repeated passage: ``id_col, start_word, n_words, other_id``.
 
@@ -198,8 +229,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     words no other document has are dropped by counting. The rest are sorted within their stem and
     compared with their neighbours, to the right and to the left. A stem of more than ``TOGETHER``
     suffixes is dealt by the words before and by the words behind it, since a match has ``SIDE``
-    words more on one of the two sides, and what is still as large then, being alike over
-    ``STEM + SIDE`` words, by document.
+    words more on one of the two sides; of what is still as large then, being alike over
+    ``STEM + SIDE`` words, all windows of ``LEAST`` words are counted.
 
     A null text is the empty text; texts of fewer than ``LEAST`` words have no passages. Repeated
     rows (same id and text) are one document; equal texts under different ids repeat as a whole.
@@ -224,20 +255,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     deal = suffixes.where(F.col("members") <= TOGETHER).withColumn("deal", F.lit(0).cast("long"))
     large = suffixes.where(F.col("members") > TOGETHER)
+    crowded = None
     if not large.isEmpty():
         sides = F.explode(F.array(
-            F.xxhash64(F.lit(1), F.substring("before", 1, 4 * SIDE)),
-            F.xxhash64(F.lit(2), F.substring("after", 4 * STEM + 1, 4 * SIDE)),
+            F.struct(F.lit(1).alias("side"), F.xxhash64(F.lit(1), F.substring("before", 1, 4 * SIDE)).alias("deal")),
+            F.struct(F.lit(2).alias("side"), F.xxhash64(F.lit(2), F.substring("after", 4 * STEM + 1, 4 * SIDE)).alias("deal")),
         ))
-        sided, _ = write_table(large.withColumn("deal", sides), "suffix-sides")
+        sided, _ = write_table(large.withColumn("s", sides).select(*large.columns, "s.side", "s.deal"), "suffix-sides")
         sizes = sided.groupBy("stem", "deal").agg(F.count(F.lit(1)).alias("size"))
-        salt = F.pmod(F.xxhash64("id", "h"), F.ceil(F.col("size") / TOGETHER))
-        dealt = sided.join(sizes, ["stem", "deal"]).withColumn("deal", F.xxhash64("deal", salt)).drop("size")
-        deal = deal.unionByName(dealt.select(deal.columns))
+        dealt = sided.join(sizes, ["stem", "deal"])
+        crowded = dealt.where(F.col("size") > TOGETHER)
+        deal = deal.unionByName(dealt.where(F.col("size") <= TOGETHER).select(deal.columns))
     groups = deal.select("stem", "deal", "after", "before", "id", "h", "at").repartition(
         task_count(spark), "stem", "deal"
     ).sortWithinPartitions("stem", "deal", "after", "before", "id", "h", "at")
-    found, _ = write_table(_neighbours(groups), "suffix-matches")
+    matches = _neighbours(groups)
+    if crowded is not None:
+        matches = matches.unionByName(_equal_windows(crowded))
+    found, _ = write_table(matches, "suffix-matches")
 
     # Overlapping and touching runs of a document are one passage.
     own = Window.partitionBy("id", "h").orderBy("start", "stop", "other_id")

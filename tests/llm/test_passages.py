@@ -70,3 +70,21 @@ def test_positions_of_very_long_texts():
     kept, _ = suffix_dedup.kept_positions(codes)
     assert max(b - a for a, b in zip(kept, kept[1:])) <= suffix_dedup.WINDOW
     assert len(kept) < 0.1 * len(codes)
+
+
+@pytest.mark.parametrize("together", [2, 6, 20])
+def test_crowded_stems_lose_no_passage(spark, monkeypatch, together):
+    rng = random.Random(together)
+    words = lambda n: ["".join(rng.choice("abcdef") for _ in range(4)) for _ in range(n)]
+    line = words(40)  # alone too short to count
+    rows = [(k, " ".join(words(k % 9) + line + words(60))) for k in range(80)]
+    for k in range(20):  # pairs share 10 to 15 words more, before or behind
+        more = words(10 + k % 6)
+        both = more + line if k % 2 else line + more
+        rows += [(1000 + 2 * k + i, " ".join(words(30 + i) + both + words(30))) for i in range(2)]
+    rows += [(2000 + k, " ".join(words(k) + line + line[:25] + words(20))) for k in range(9)]
+    rows += [(None, rows[100][1]), (3000, rows[100][1]), (3000, rows[100][1])]
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    got = suffix_dedup.repeated_passages(frame(spark, rows)).collect()
+    assert collections.Counter((r.doc_id, r.start_word, r.n_words) for r in got) == plain(rows)
+    assert all(r.other_id != r.doc_id for r in got)
