@@ -48,7 +48,11 @@ VOTES = 3
 ENOUGH = 0.5
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style|itemprop|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+#: An attribute and its value in double quotes, in single quotes or bare; a quote that never closes is no quote.
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]++)|))?+""")
+#: What a start tag holds up to its closing sign.
+TAG = re.compile(rf"(?:[\s/]++|{ATTRIBUTE.pattern})*+")
+READ = {"class", "id", "role", "hidden", "style", "itemprop", "aria-hidden"}
 WORD = re.compile(r"[a-z]+")
 PARSED = (
     StructType()
@@ -68,7 +72,7 @@ def tokens(html: str):
     Comments, declarations and the contents of raw elements are left out; what is never closed
     runs to the end of the page.
     """
-    at, size, low = 0, len(html), None
+    at, size, low, torn = 0, len(html), None, False
     while at < size:
         mark = html.find("<", at)
         if mark < 0:
@@ -86,13 +90,12 @@ def tokens(html: str):
         elif after == "/" or after.isalpha():
             name = NAME.match(html, mark + 1 + (after == "/"))
             end = html.find(">", mark)
-            for _ in range(16):  # a quoted value may hold the closing sign
-                piece = html[mark:end] if end >= 0 else ""
-                if end < 0 or "=" not in piece or piece.count('"') % 2 == 0:
-                    break
-                end = html.find(">", end + 1)
-            if end < 0:
-                end = html.find(">", mark)
+            # A quoted value may hold the closing sign. A tag that has none outside its values runs to the
+            # end of the page; then each tag ends at the first sign, so that a page is not scanned again.
+            if name and end >= 0 and not torn and ('"' in (piece := html[mark:end]) or "'" in piece):
+                outside = TAG.match(html, name.end()).end()
+                torn = outside == size
+                end = end if torn else outside
             stop = size if end < 0 else end
             at = stop + 1
             if name is None:
@@ -112,7 +115,11 @@ def tokens(html: str):
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or "").strip("\"'") for m in ATTRIBUTE.finditer(text)} if text else {}
+    found: dict[str, str] = {}
+    for name, double, single, bare in ATTRIBUTE.findall(text):
+        if (name := name.lower()) in READ:
+            found.setdefault(name, double or single or bare)  # of repeated names the first counts
+    return found
 
 
 def _unwanted(tag: str, attributes: dict[str, str]) -> bool:

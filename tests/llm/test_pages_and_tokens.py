@@ -56,6 +56,23 @@ def test_main_text(spark):
     assert extraction.extract_main_text(pages(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("quote", ["'", '"'])
+@pytest.mark.parametrize("n", [1, 17, 1000, 200_000])
+def test_signs_in_quoted_values(quote, n):
+    value = ("</div><p hidden class=ad>x<script>" * n)[: 40 * n]
+    page = extraction.Page(f"<div data-x = {quote}{value}{quote} class='content'><p title=it's>one</p>two</div>three")
+    assert [text for text, *_ in page.blocks] == ["one", "two", "three"]
+    assert [c[0] for c in page.containers] == ["div.content"]
+
+
+def test_torn_tags_end_at_the_first_sign():
+    texts = lambda html: [text for text, *_ in extraction.Page(html).blocks]
+    assert texts("<p class='a>one</p><div>two</div>") == ["one", "two"]
+    assert texts('<p a="x>one</p>' + "<p>two</p>" * 3) == ["one", "two", "two", "two"]
+    assert len(texts('<p a=">" ' * 200_000)) == 200_000  # in linear time
+    assert texts("<div data-class='ad' alt='hidden'>one</div><div CLASS=ad>two</div>") == ["one"]
+
+
 def test_hosts_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr(extraction, "BROADCAST_HOSTS", 0)
     got = extraction.extract_main_text(pages(spark, [(k, "http://h.com", article(k)) for k in range(5)]))
