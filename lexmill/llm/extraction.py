@@ -6,7 +6,7 @@ import html as html_lib
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
 
 from lexmill.llm.common import columns, map_rows
 from lexmill.session import write_table
@@ -43,9 +43,8 @@ UNLESS_CONTENT = {
 CONTENT = {"content", "article", "post", "entry", "story", "main", "body", "text"}
 FACTOR = {"article": 1.6, "main": 1.5, "section": 1.1, "div": 1.1, "center": 1.0, "td": 1.0, "body": 0.9, "html": 0.8}
 CONTENT_FACTOR = 1.5
-#: Containers of a page that vote, and the part of a page's own best that a winner must hold.
+#: Containers of a page that vote.
 VOTES = 3
-ENOUGH = 0.5
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 #: An attribute and its value in double quotes, in single quotes or bare; a quote that never closes is no quote.
@@ -57,7 +56,7 @@ WORD = re.compile(r"[a-z]+")
 PARSED = (
     StructType()
     .add("blocks", ArrayType(columns(text="string").add("inside", ArrayType(IntegerType()))))
-    .add("containers", ArrayType(columns(path="string", score="double")))
+    .add("containers", ArrayType(columns(path="string", score="double").add("whole", BooleanType())))
     .add("votes", ArrayType(columns(path="string", weight="double")))
 )
 #: Hosts and characters up to which the table of winners is sent to every task.
@@ -232,6 +231,19 @@ class Page:
                 sums[c] += max(0, len(text) - linked)
         return [s * f for s, (_, f) in zip(sums, self.containers)]
 
+    def whole_paths(self) -> set[str]:
+        """Paths whose containers hold all of the best container's text outside links (if any, else all its text)."""
+        scores = self.scores()
+        best = max(range(len(scores)), key=lambda i: (scores[i], i), default=None)
+        if best is None:
+            return set()
+        around = {
+            inside for text, linked, inside in self.blocks
+            if best in inside and (len(text) > linked or scores[best] == 0)
+        }
+        held = [{self.containers[i][0] for i in inside} for inside in around]
+        return set.intersection(*held) if held else set()
+
     def votes(self) -> list[tuple[str, float]]:
         """The best containers' paths, weighted by their part of the best score."""
         scores = self.scores()
@@ -255,7 +267,8 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """``row_id, url, host, blocks, containers, votes``: each page parsed once.
 
     ``blocks`` are ``(text, inside)`` with the numbers of the containers around a block,
-    ``containers`` are ``(path, score)`` and ``votes`` are ``(path, weight)``.
+    ``containers`` are ``(path, score, whole)``, where ``whole`` says that the path's containers hold
+    all that the page's best container has outside links, and ``votes`` are ``(path, weight)``.
     """
     source = pages.select(
         F.col(id_col).alias("row_id"), F.col(url_col).cast("string").alias("url"), host_of(url_col).alias("host"),
@@ -270,7 +283,11 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 "row_id": ids, "url": urls, "host": hosts,
                 "blocks": [[{"text": t, "inside": list(inside)} for t, _, inside in p.blocks] for p in parsed],
                 "containers": [
-                    [{"path": path, "score": score} for (path, _), score in zip(p.containers, p.scores())] for p in parsed
+                    [
+                        {"path": path, "score": score, "whole": path in whole}
+                        for (path, _), score in zip(p.containers, p.scores())
+                    ]
+                    for p in parsed for whole in (p.whole_paths(),)
                 ],
                 "votes": [[{"path": path, "weight": weight} for path, weight in p.votes()] for p in parsed],
             }
@@ -293,21 +310,20 @@ def winning_paths(parsed: DataFrame) -> DataFrame:
 def under(path: Column) -> Column:
     """The text of a parsed page's blocks under a path.
 
-    Where the containers at the path hold less than ``ENOUGH`` of the score of the page's own best
-    container, or there is no path, the best container is taken; a page without containers gives
-    all its blocks.
+    Where the containers at the path leave out text of the page's own best container (``whole``), or
+    there is no path, the best container is taken; a page without containers gives all its blocks.
     """
     numbers = F.sequence(F.lit(0), F.size("containers") - 1)
-    score = lambda i: F.element_at("containers", i + 1)["score"]
+    of = lambda i: F.element_at("containers", i + 1)
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)  # noqa: E731 not again for each element
+    at_path = F.filter(numbers, lambda i: of(i)["path"].eqNullSafe(path) & of(i)["whole"])
     best = F.array_max(F.col("containers")["score"])
-    at_path = F.filter(numbers, lambda i: F.element_at("containers", i + 1)["path"].eqNullSafe(path))
-    held = F.aggregate(at_path, F.lit(0.0), lambda total, i: total + score(i))
-    own = F.slice(F.filter(numbers, lambda i: score(i) == best), -1, 1)
-    wanted = F.when(held >= ENOUGH * best, at_path).otherwise(own)
-    blocks = F.when(F.size("containers") == 0, F.col("blocks")).otherwise(
-        F.filter("blocks", lambda b: F.arrays_overlap(b["inside"], wanted))
+    own = once(best, lambda b: F.slice(F.filter(numbers, lambda i: of(i)["score"] == b), -1, 1))
+    wanted = F.when(F.exists("containers", lambda c: c["path"].eqNullSafe(path) & c["whole"]), at_path).otherwise(own)
+    text = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
+    return F.when(F.size("containers") == 0, text(F.col("blocks"))).otherwise(
+        once(wanted, lambda w: text(F.filter("blocks", lambda b: F.arrays_overlap(b["inside"], w))))
     )
-    return F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
 
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -315,7 +331,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Character references are decoded, white space inside a block becomes one space, and blocks are
     joined by one line end in page order. Null and empty pages have the empty text; pages without
-    address form one host; a page that the winning path does not fit uses its own best container.
+    address form one host; a page of which the winning path would lose text uses its own best container.
     Repeated rows count as so many votes. Pages are parsed once and stored as blocks; the
     extraction with the winners reads them. Winners are broadcast up to a checked number and size
     of hosts; beyond, pages join them by host, salted.

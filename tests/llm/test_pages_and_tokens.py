@@ -56,6 +56,23 @@ def test_main_text(spark):
     assert extraction.extract_main_text(pages(spark, rows).limit(0)).count() == 0
 
 
+def test_hosts_with_two_layouts(spark):
+    word = lambda n: "<p>" + "word " * n + "</p>"
+    lines = lambda *n: "\n".join(("word " * k).strip() for k in n)
+    rows = [(k, "http://h.com", f"<main><article>{word(200)}</article></main>") for k in range(20)]
+    rows += [(30, "http://h.com", f"<main>{word(70)}<article>{word(120)}</article>{word(10)}</main>")]
+    rows += [(31, "http://h.com", f"<main><article>{word(120)}</article><p><a href=x>more to read</a></p></main>")]
+    rows += [(32, "http://h.com", f"<main><article>{word(30)}</article><div class='content'>{word(90)}</div></main>")]
+    rows += [(40 + k, "http://d.com", f"<div><div class='content'>{word(100)}</div></div>") for k in range(9)]
+    rows += [(60, "http://d.com", f"<div>{word(45)}<div class='content'>{word(55)}</div></div>")]
+    rows += [(61, "http://d.com", "<div><p><a href=x>only links</a></p></div>")]
+    got = {r.page_id: r for r in extraction.extract_main_text(pages(spark, rows)).collect()}
+    assert (got[30].path, got[60].path) == ("main>article", "div>div.content")
+    assert {got[k].text for k in range(20)} == {lines(200)} and got[31].text == lines(120)
+    assert (got[30].text, got[32].text, got[60].text) == (lines(70, 120, 10), lines(30, 90), lines(45, 55))
+    assert got[61].text == "only links"
+
+
 @pytest.mark.parametrize("quote", ["'", '"'])
 @pytest.mark.parametrize("n", [1, 17, 1000, 200_000])
 def test_signs_in_quoted_values(quote, n):
