@@ -23,7 +23,7 @@ EPOCHS = 2
 EVAL_ITERS = 100
 SAMPLE_LINES = 4_000
 SAMPLE_SEED = 7
-BPE_SIZE = 400
+BPE_SIZE = 2_000
 BLOCK_TOKENS = 1_024
 TOP_K = 5
 TEMPERATURE = 0.8

@@ -263,3 +263,29 @@ def test_loglog_fit_on_published_points(spark):
 
 def test_vocab_schema_is_stable():
     assert schemas.VOCAB.names == ["id", "piece", "score", "kind"]
+
+
+def test_many_merges_equal_single_merges(spark):
+    rng = random.Random(5)
+    data = {"▁" + "".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 12))): rng.randint(1, 500) for _ in range(80)}
+    letters = {c for w in data for c in w}
+    got = bpe_train.learn_merges(words_table(spark, data), 90, letters)
+    assert len(got) == 90 and got == plain_merges(data, 90)
+
+
+def test_queries_train_the_default_vocabulary(monkeypatch):
+    from lexmill.plans import catalog
+
+    sizes = []
+
+    def asked(articles, size):
+        sizes.append(size)
+        raise StopIteration
+
+    monkeypatch.setattr(catalog.flows, "bpe_vocab", asked)
+    monkeypatch.setattr(catalog, "_articles", lambda *a: None)
+    monkeypatch.setattr(catalog, "fresh_path", lambda *a: "none")
+    for query in (catalog.bpe_vocab, catalog.bpe_roundtrip, catalog.bpe_shard_stats):
+        with pytest.raises(StopIteration):
+            query(None, "none")
+    assert sizes == [2_000] * 3
