@@ -33,16 +33,17 @@ class Rule:
     fails: str
 
 
-#: The list only grows: a bit keeps its meaning in every stored ledger.
+#: The list only grows: a bit keeps its meaning in every stored ledger. Bounds do not tighten with length: new words
+#: come with about the root of the words (the bound falls from 10,000 words on), and insults count per 1,000 words.
 RULES = (
     Rule("too_few_words", "n_words < 20"),
     Rule("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
     Rule("symbols", "10 * n_symbols > 3 * n_words"),
     Rule("duplicate_lines", "n_lines >= 4 and 10 * n_dup_lines > 3 * n_lines"),
     Rule("word_length", "word_chars > 20 * n_words"),
-    Rule("few_distinct_words", "n_words >= 50 and 20 * n_distinct_words < n_words"),
+    Rule("few_distinct_words", "n_words >= 50 and 20 * n_distinct_words < n_words and n_distinct_words * n_distinct_words < 25 * n_words"),
     Rule("upper_case", "n_words >= 20 and 2 * n_upper_words > n_words"),
-    Rule("toxic", "n_toxic_words >= 3 or 50 * n_toxic_words > n_words"),
+    Rule("toxic", "n_toxic_words >= 3 and 1000 * n_toxic_words > n_words or 50 * n_toxic_words > n_words"),
 )
 BASE_RULES = ("too_few_words", "repeated_windows")
 #: Versioned policies: the rules that reject. ``None`` means all.

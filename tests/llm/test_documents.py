@@ -70,6 +70,18 @@ def test_ledger_policy_and_ablation(spark):
     assert kept.columns == frame(spark, rows).columns and {r.doc_id for r in kept.collect()} == {21}
 
 
+def test_long_clean_documents_are_kept(spark):
+    rng = random.Random(2)
+    book = [f"w{int(15_000 ** rng.random())}" for _ in range(400_000)]  # ranks as in prose
+    book[::100_000] = ["stupid", "trash.", "loser", "clown"]
+    rows = [(1, " ".join(book)), (2, " ".join(["stupid", "trash", "loser", *book[1:2000]])), (3, " ".join(f"v{k % 90}" for k in range(9000)))]
+    ledger = {r.doc_id: r for r in quality.rule_ledger(frame(spark, rows)).collect()}
+    rule = lambda name: quality.mask_of([name])
+    assert 20 * ledger[1].n_distinct_words < ledger[1].n_words and ledger[1].n_toxic_words == 4
+    assert not ledger[1].failure_bits & (rule("toxic") | rule("few_distinct_words"))
+    assert ledger[2].failure_bits & rule("toxic") and ledger[3].failure_bits & rule("few_distinct_words")
+
+
 @pytest.mark.parametrize("weak", [False, True])
 @pytest.mark.parametrize("keep", ["min", "max"])
 def test_exact_groups(spark, keep, weak):
