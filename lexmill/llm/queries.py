@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import byte_bpe, exact_dedup, extraction, jaccard_join, packing, private_data, quality, sharding, suffix_dedup, warc
+from lexmill.llm import (
+    byte_bpe, exact_dedup, extraction, infill, jaccard_join, packing, private_data, quality, sharding, spelling, stream_bpe,
+    suffix_dedup, warc,
+)
 from lexmill.session import fresh_path, write_table
 
 POLICY = "v1"
@@ -100,9 +103,29 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="max")
 
 
+def op11_block_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as fill-in-the-middle examples and restored from them, as digests."""
+    made = infill.fill_in_middle(documents(spark, sf_dir))
+    back = made.withColumn("text", infill.restored(F.col("output"), F.col("form")))
+    return back.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"),
+    )
+
+
+def op12_stream_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded and decoded as streams, as digests."""
+    return stream_bpe.token_digests(documents(spark, sf_dir))
+
+
+def op13_spelling_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All frequent words of all documents with their near words and forms."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = [
     op1_quality_ledger, op2_host_paths, op3_chosen_path, op4_skip_chain, op5_sampled_splitters, op6_rank_queue,
-    op7_sparse_suffixes, op8_vector_packing, op9_transactions, op10_exact_dedup,
+    op7_sparse_suffixes, op8_vector_packing, op9_transactions, op10_exact_dedup, op11_block_rotation, op12_stream_transducer, op13_spelling_index,
 ]
 
 ORACLE_SQL = {
@@ -110,4 +133,22 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+    "op11_block_rotation": """
+        WITH hashed AS (
+            SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+        numbers AS (
+            SELECT doc_id, t, length(t) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+                   ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM hashed),
+        cuts AS (
+            SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                        THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers),
+        pieces AS (
+            SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM cuts)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM pieces""",
 }
