@@ -8,6 +8,7 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,15 +46,17 @@ def byte_letters() -> list[str]:
 
 
 class Remembered(dict):
-    """Values by key, made when missing; of two generations the older is forgotten."""
+    """Values by key, made when missing; of two generations the older is forgotten, and long keys at once."""
 
-    def __init__(self, make, bound: int):
-        self.make, self.half, self.older = make, bound // 2, {}
+    def __init__(self, make, bound: int, longest: int):
+        self.make, self.half, self.longest, self.older = make, bound // 2, longest, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+            if len(key) > self.longest:
+                return value
         if len(self) >= self.half:
             self.older = dict(self)
             self.clear()
@@ -72,21 +75,22 @@ class MergeList:
         self.width = [0] * self.size
         for i in self.inner + self.last:
             self.width[i] = 1
-        #: left id * size + right id -> rank, and the token that the merge of a rank makes
-        self.rank: dict[int, int] = {}
+        #: rank by left and right token, and the token that the merge of a rank makes
+        self.rank: list[dict[int, int]] = [{} for _ in range(self.size)]
         self.made: list[int] = []
         self.parts: list[tuple[int, int]] = []
         for a, b in merges:
             left, right, token = vocab[a], vocab[b], vocab[a + b]
             if not (self.width[left] and self.width[right]) or self.width[token]:
                 raise ValueError("a merge must make a new token of two tokens that are made before it")
-            self.rank[left * self.size + right] = len(self.made)
+            self.rank[left][right] = len(self.made)
             self.made.append(token)
             self.parts.append((left, right))
             self.width[token] = self.width[left] + self.width[right]
         self.lookahead = self._lookahead()
-        #: tokens of short pre-tokens
-        self.ended = Remembered(lambda data: self.encode(data, True), REMEMBERED)
+        #: ids of whole pre-tokens as little-endian integers
+        self.kind = "H" if self.size <= 1 << 16 else "I"
+        self.ended = Remembered(lambda data: array(self.kind, self.encode(data, True)).tobytes(), REMEMBERED, SHORT)
 
     def _lookahead(self) -> int:
         """How far a byte can change token borders to its left, over all texts.
@@ -116,24 +120,24 @@ class MergeList:
         return self._short(token) if len(token) <= SHORT else self._long(token)
 
     def _short(self, token: list[int]) -> list[int]:
-        size, get, none = self.size, self.rank.get, len(self.made)
-        ranks = [get(a * size + b, none) for a, b in zip(token, token[1:])]
+        rank, made, none = self.rank, self.made, len(self.made)
+        ranks = [rank[a].get(b, none) for a, b in zip(token, token[1:])]
         while ranks and (r := min(ranks)) < none:
             i = ranks.index(r)
-            token[i : i + 2] = [self.made[r]]
-            del ranks[i]
+            token[i] = t = made[r]
+            del token[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = get(token[i - 1] * size + token[i], none)
+                ranks[i - 1] = rank[token[i - 1]].get(t, none)
             if i < len(ranks):
-                ranks[i] = get(token[i] * size + token[i + 1], none)
+                ranks[i] = rank[t].get(token[i + 1], none)
         return token
 
     def _long(self, token: list[int]) -> list[int]:
-        size, get, n = self.size, self.rank.get, len(token)
+        rank, n = self.rank, len(token)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
         for i in range(n - 1):
-            if (r := get(token[i] * size + token[i + 1])) is not None:
+            if (r := rank[token[i]].get(token[i + 1])) is not None:
                 heap.append((r, i))
         heapq.heapify(heap)
         while heap:
@@ -141,13 +145,13 @@ class MergeList:
             j = after[i]
             if token[i] < 0 or j >= n or (token[i], token[j]) != self.parts[r]:
                 continue  # one of the two is merged meanwhile
-            token[i], token[j] = self.made[r], -1
+            token[i], token[j] = t, _ = self.made[r], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := get(token[i] * size + token[k])) is not None:
+                if (r := rank[t].get(token[k])) is not None:
                     heapq.heappush(heap, (r, i))
-            if (h := before[i]) >= 0 and (r := get(token[h] * size + token[i])) is not None:
+            if (h := before[i]) >= 0 and (r := rank[token[h]].get(t)) is not None:
                 heapq.heappush(heap, (r, h))
         return [t for t in token if t >= 0]
 
@@ -188,8 +192,7 @@ class Transducer:
         return tokens[:n]
 
     def end(self) -> list[int]:
-        data = bytes(self.buffer)
-        tokens = self.merges.ended[data] if len(data) <= SHORT else self.merges.encode(data, True)
+        tokens = self.merges.encode(bytes(self.buffer), True)
         self.buffer.clear()
         return tokens
 
@@ -337,9 +340,9 @@ class StreamCoder:
         )
         if not known:
             raise ValueError("the tokenizer file asks for steps that are not supported")
-        self.merges = MergeList(model["vocab"], [tuple(m) for m in model["merges"]])
-        self.gather = gather
         self.special_ids = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.merges = MergeList(model["vocab"] | self.special_ids, [tuple(m) for m in model["merges"]])
+        self.gather = gather
         names = sorted(self.special_ids, key=len, reverse=True)
         self.specials = re.compile("|".join(map(re.escape, names)) or "(?!)")
         self.longest_special = max(map(len, names), default=1)
@@ -348,16 +351,15 @@ class StreamCoder:
         numbers = _class(pre_tokenizers.Split(Regex(r"\p{N}"), "removed"), everything)
         other = rf"[^{WHITE.pattern[1:-2]}{letters}{numbers}]"
         self.pattern = re.compile(f"(?P<ending>{ENDINGS})|(?P<letters>[{letters}]+)|(?P<number>[{numbers}])|(?P<other>{other}+)")
+        self.words = re.compile(f"{ENDINGS}|[{letters}]+|[{numbers}]|{other}+").findall
         self.more = {"letters": re.compile(f"[{letters}]*"), "other": re.compile(f"{other}*")}
         self._nfc, self._lower = normalizers.NFC().normalize_str, normalizers.Lowercase().normalize_str
-        size = max([self.merges.size, *(i + 1 for i in self.special_ids.values())])
-        self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        self.remembered = Remembered(self._run, REMEMBERED)
-        self._reader = Reader(self)
+        self.kind = self.merges.kind
+        self.remembered = Remembered(self._run, REMEMBERED, LONG_RUN)
         #: what the library's decoder, which joins spellings by a space, writes; and the bytes meant
         tokens = sorted({**model["vocab"], **self.special_ids}.items(), key=lambda t: t[1])
         at = {c: b for b, c in enumerate(byte_letters())}
-        self.spelled, self.meant = [b""] * size, [b""] * size
+        self.spelled, self.meant = [b""] * self.merges.size, [b""] * self.merges.size
         for token, i in tokens:
             self.spelled[i] = token.encode()
             ended = token.endswith(END_OF_WORD)
@@ -365,12 +367,15 @@ class StreamCoder:
             self.meant[i] = token.encode() if token in self.special_ids else bytes(at[c] for c in raw) + b" " * ended
 
     def normal(self, text: str) -> str:
-        return text.lower() if text.isascii() else self._lower(self._nfc(text))
+        """Normal form and lower case; below U+0300 there is nothing to join."""
+        return text.lower() if not text or max(text) < "\u0300" else self._lower(self._nfc(text))
 
     def _run(self, run: str) -> bytes:
-        """The ids of a short run."""
-        self._reader.held = run
-        return np.array(self._reader.end(), self.kind).tobytes()
+        """The ids of one run; a short one has no token that is stable before its end."""
+        if len(run) > LONG_RUN or self.specials.search(run):
+            reader = Reader(self)
+            return array(self.kind, reader.feed(run) + reader.end()).tobytes()
+        return b"".join([self.merges.ended[w.encode()] for w in self.words(self.normal(run))])
 
     def _runs(self, text: str) -> list[str]:
         return [r for r in WHITE.split(text) if r] if SEPARATORS.search(text) else text.split()
@@ -381,7 +386,7 @@ class StreamCoder:
         Runs between white space do not touch each other's tokens; short ones are remembered, and
         one that is longer than a block goes through a reader.
         """
-        at, n, remembered = 0, len(text), self.remembered
+        at, n, remembered = 0, len(text), self.remembered.__getitem__
         while at < n:
             block = text[at : at + READ]
             at += len(block)
@@ -395,16 +400,16 @@ class StreamCoder:
                     end = WHITE.search(text, at)
                     at = end.start() if end else n
                     continue
-            yield b"".join([remembered[r] if len(r) <= LONG_RUN else self._run(r) for r in runs])
+            yield b"".join(map(remembered, runs))
 
     def _long_run(self, text: str, at: int) -> Iterator[bytes]:
         reader, end = Reader(self), None
         while at < len(text) and end is None:
             end = WHITE.search(text, at, at + READ)
             piece = text[at : end.start() if end else at + READ]
-            yield np.array(reader.feed(piece), self.kind).tobytes()
+            yield array(self.kind, reader.feed(piece)).tobytes()
             at += len(piece)
-        yield np.array(reader.end(), self.kind).tobytes()
+        yield array(self.kind, reader.end()).tobytes()
 
     def decoder(self, spelled: bool = True) -> Decoder:
         """A decoder to the library's spelling, or to the text meant, whose words end with a space."""
@@ -462,7 +467,7 @@ def _mapped(docs, path, id_col, text_col, decode, digests):
             for block in use.encode_blocks(text):
                 ids = np.frombuffer(block, use.kind)
                 n += len(ids)
-                ids_sum.update(ids.astype("<u4").tobytes())
+                ids_sum.update(ids.astype("<u4"))
                 text_sum.update(back.push(ids.tolist()).encode())
             text_sum.update(back.end().encode())
             return n, ids_sum.hexdigest(), text_sum.hexdigest()
