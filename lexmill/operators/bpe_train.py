@@ -1,15 +1,19 @@
 """Byte-pair vocabulary training over a distributed table of word segments.
 
-Every round is one Spark aggregation over the segments; only a ranked list of pairs
-comes to the driver. A merged symbol is a single private code point, so applying
-a merge is a string replacement and stays inside the JVM.
+A round asks for the most frequent pairs, cuts all segments where a rarer pair stands, and adds up
+equal parts. Those few parts hold every pair that can come before the rarer ones, so the driver
+takes many merges from them, exactly, with an index from each pair to the parts that hold it.
+Then the executors apply the new merges. A merged symbol is a single private code point.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import heapq
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from lexmill import schemas
 from lexmill.operators.vocab import covered_alphabet, pair_rows, segment_counts, word_alphabet
@@ -21,168 +25,218 @@ FIRST_MERGE_ID = len(SPECIALS) + N_BYTES
 MAX_VOCAB = 65_536  # ids fit uint16
 MAX_PIECE = 16  # characters, word-start mark included
 PRIVATE_START = 0xF0000
-RANKED_PAIRS = 2_048  # pairs the driver looks at in one round, doubled when too few
 ROWS_PER_TASK = 20_000  # segments per task of a round, up to the tasks of the cluster
-PENDING_MERGES = 24  # merges applied on the fly before the segments are written again
+FIRST_PAIRS = 64  # most frequent pairs that the first round keeps together
+MOST_PAIRS = 16_384
+MOST_PARTS = 100_000  # distinct parts that a round may bring to the driver
+HELD_PARTS = 50_000  # distinct parts that a task adds up before they leave it
 
 
-class PairRanking:
-    """Takes as many merges from one ranking as a one-at-a-time loop would make.
+class PartIndex:
+    """Parts of segments with their weights, and for each pair its count and the parts that hold it.
 
-    Merging (a, b) changes the count of another pair only when that pair starts with b or
-    ends with a; every pair it creates occurs at most as often as such a neighbour. So
-    pairs are taken in order until one is such a neighbour of a taken pair, or until
-    a created pair could come first.
+    A merge touches only the parts of its pair. Pairs lie in a heap by count, ties by their
+    pieces; an entry whose count has changed meanwhile is skipped.
     """
 
-    def __init__(self, pairs: list[tuple[int, str, str]], complete: bool, pieces: set[str],
-                 max_piece: int = MAX_PIECE):
-        self.pairs = sorted(pairs, key=lambda p: (-p[0], p[1], p[2]))
-        self.floor = None if complete else self.pairs[-1][0]
-        self.pieces = pieces
+    def __init__(self, parts: dict[str, int], piece: dict[str, str]):
+        self.parts, self.weights = list(parts), list(parts.values())
+        self.piece = piece
+        self.counts: Counter[str] = Counter()
+        self.holders: dict[str, set[int]] = defaultdict(set)
+        for k, (part, n) in enumerate(parts.items()):
+            for pair in map("".join, zip(part, part[1:])):
+                self.counts[pair] += n
+                self.holders[pair].add(k)
+        self.heap = [self._entry(pair) for pair in self.counts]
+        heapq.heapify(self.heap)
+
+    def _entry(self, pair: str) -> tuple[int, str, str, str]:
+        return -self.counts[pair], self.piece[pair[0]], self.piece[pair[1]], pair
+
+    def best(self) -> tuple[int, str] | None:
+        """Count and symbols of the first pair; it leaves the heap."""
+        while self.heap:
+            n, _, _, pair = heapq.heappop(self.heap)
+            if n and -n == self.counts[pair]:
+                return -n, pair
+        return None
+
+    def merge(self, pair: str, symbol: str) -> None:
+        changed = set()
+        for k in self.holders.pop(pair):
+            before, n = self.parts[k], self.weights[k]
+            self.parts[k] = after = before.replace(pair, symbol)
+            for old in map("".join, zip(before, before[1:])):
+                self.counts[old] -= n
+                changed.add(old)
+            for new in map("".join, zip(after, after[1:])):
+                self.counts[new] += n
+                self.holders[new].add(k)
+                changed.add(new)
+        for one in changed:
+            if self.counts[one] > 0:
+                heapq.heappush(self.heap, self._entry(one))
+
+
+class Merges:
+    """Merges in order, and the code points that stand for their pieces."""
+
+    def __init__(self, alphabet: set[str], max_piece: int):
+        self.made: list[tuple[str, str]] = []
+        self.code = {c: c for c in alphabet}
+        self.piece = dict(self.code)
         self.max_piece = max_piece
-        self.level: dict[int, tuple[dict, dict]] = {}
-        for n, a, b in self.pairs:
-            by_first, by_second = self.level.setdefault(n, (defaultdict(list), defaultdict(list)))
-            by_first[a].append(b)
-            by_second[b].append(a)
-
-    def _created(self, n: int, a: str, b: str):
-        by_first, by_second = self.level[n]
-        for y in by_first.get(b, ()):
-            yield (a + b, y)
-        for x in by_second.get(a, ()):
-            yield (x, a + b)
-
-    def take(self, limit: int) -> list[tuple[str, str]] | None:
-        """Merges in order; None when the ranking is too short to decide the first one."""
-        taken: list[tuple[str, str]] = []
-        firsts: set[str] = set()
-        seconds: set[str] = set()
-        barred_first: set[str] = set()
-        barred_second: set[str] = set()
-        made: set[str] = set()
-        level, created = None, None
-        for n, a, b in self.pairs:
-            if len(taken) >= limit:
-                break
-            if n == self.floor:
-                return taken or None
-            if a in seconds or b in firsts:
-                break
-            if len(a + b) > self.max_piece or a + b in self.pieces or a + b in made:
-                barred_first.add(a)
-                barred_second.add(b)
-                continue
-            if n != level:
-                level = n
-                created = min((c for p in taken for c in self._created(n, *p)), default=None)
-            if created is not None and created < (a, b):
-                break
-            taken.append((a, b))
-            made.add(a + b)
-            firsts.add(a)
-            seconds.add(b)
-            if a == b or b in barred_first or a in barred_second:
-                break
-            new = min(self._created(n, a, b), default=None)
-            if new is not None and (created is None or new < created):
-                created = new
-        return taken if taken or self.floor is None else None
+        self._free = (chr(i) for i in range(PRIVATE_START, 0x110000) if chr(i) not in alphabet)
 
+    def open(self, pair: str) -> bool:
+        """Whether a pair may be merged: its piece is new and not too long."""
+        joined = self.piece[pair[0]] + self.piece[pair[1]]
+        return len(joined) <= self.max_piece and joined not in self.code
 
-def _counted(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("p").agg(F.sum("n").alias("n")).where("n > 0")
+    def add(self, pair: str) -> str:
+        a, b = self.piece[pair[0]], self.piece[pair[1]]
+        symbol = self.code[a + b] = next(self._free)
+        self.piece[symbol] = a + b
+        self.made.append((a, b))
+        return symbol
 
+    def take(self, index: PartIndex, floor: int, limit: int) -> None:
+        """Merges whose count is over ``floor``, until there are ``limit``.
 
-class SegmentState:
-    """Segments and their pair counts as written tables, plus merges not yet written.
+        Counts only fall, and a new pair is at most as frequent as the pair of symbols at its border
+        was, so whatever is over the floor has all its occurrences inside the parts.
+        """
+        while len(self.made) < limit and (best := index.best()) and best[0] > floor:
+            if self.open(best[1]):
+                index.merge(best[1], self.add(best[1]))
+
+
+def _batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def spelled_pairs(counts: DataFrame, merges: Merges) -> DataFrame:
+    """``n, a, b, p, open`` of the pairs ``p, n`` that are short enough to matter."""
+    piece, made, longest = dict(merges.piece), set(merges.code), merges.max_piece
+    schema = pa.schema([("n", pa.int64()), ("a", pa.string()), ("b", pa.string()), ("p", pa.string()), ("open", pa.bool_())])
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(n, piece[p[0]], piece[p[1]], p) for p, n in zip(*(c.to_pylist() for c in batch.columns))]
+            rows = [(n, a, b, p, a + b not in made) for n, a, b, p in rows if len(a + b) <= longest]
+            yield _batch(list(zip(*rows)) or [()] * len(schema), schema)
+
+    return counts.select("p", "n").mapInArrow(spell, "n bigint, a string, b string, p string, open boolean")
 
-    A merge changes only the segments that hold its pair, so a round counts the pairs of
-    changed segments, before and after, and adds the difference to the stored counts.
-    """
+
+def cut_parts(segments: DataFrame, together: set[str]) -> DataFrame:
+    """``part, n``: segments ``s, n`` cut at all pairs but those in ``together``, equal parts added up."""
+    schema = pa.schema([("part", pa.string()), ("n", pa.int64())])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[str] = Counter()
+        for batch in batches:
+            for s, n in zip(*(c.to_pylist() for c in batch.columns)):
+                start = 0
+                for i in range(1, len(s)):
+                    if s[i - 1 : i + 1] not in together:
+                        if i - start > 1:
+                            found[s[start:i]] += n
+                        start = i
+                if len(s) - start > 1:
+                    found[s[start:]] += n
+            if len(found) >= HELD_PARTS:
+                yield _batch([list(found), list(found.values())], schema)
+                found.clear()
+        yield _batch([list(found), list(found.values())], schema)
+
+    rows = segments.select("s", "n").mapInArrow(cut, "part string, n bigint")
+    return rows.groupBy("part").agg(F.sum("n").alias("n"))
+
+
+def apply_merges(segments: DataFrame, new: list[tuple[str, str]]) -> DataFrame:
+    """Segments ``s, n`` after the merges ``(pair, symbol)``; one that became one symbol has no pairs left."""
+    ranks = {pair: (k, symbol) for k, (pair, symbol) in enumerate(new)}
+    schema = pa.schema([("s", pa.string()), ("n", pa.int64())])
+
+    def merged(s: str) -> str:
+        while found := [pair for pair in map("".join, zip(s, s[1:])) if pair in ranks]:
+            first = min(found, key=ranks.__getitem__)
+            s = s.replace(first, ranks[first][1])
+        return s
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(merged(s), n) for s, n in zip(*(c.to_pylist() for c in batch.columns))]
+            rows = [row for row in rows if len(row[0]) > 1]
+            yield _batch(list(zip(*rows)) or [()] * 2, schema)
+
+    return segments.select("s", "n").mapInArrow(run, "s string, n bigint")
+
+
+class SegmentTable:
+    """The segments as a written table, replaced by each round."""
 
     def __init__(self, segments: DataFrame):
         self.spark = segments.sparkSession
-        self.pending: list[tuple[str, str]] = []
-        self.paths: list[str] = []
-        raw = self._write(segments.select(F.col("segment").alias("s"), "n"), "segments")
+        self.now, self.path = write_table(segments.select(F.col("segment").alias("s"), "n"), "segments")
         # Every round scans this table: cut it to even parts that keep the cores busy.
-        parts = max(1, min(task_count(self.spark), raw.count() // ROWS_PER_TASK))
-        self._store(raw.repartition(parts, "s"))
-
-    def _write(self, df: DataFrame, label: str) -> DataFrame:
-        table, path = write_table(df, label)
-        self.paths.append(path)
-        return table
-
-    def _store(self, segments: DataFrame) -> None:
-        old, self.paths = self.paths, []
-        self.segments = self._write(segments, "segments")
-        self.counts = self._write(_counted(pair_rows(self.segments, "s")), "pairs")
-        self.pending = []
-        for path in old:
-            drop_table(self.spark, path)
-
-    def _merged(self, code: dict[str, str]) -> Column:
-        s = F.col("s")
-        for a, b in self.pending:
-            s = F.replace(s, F.lit(code[a] + code[b]), F.lit(code[a + b]))
-        return s
+        parts = max(1, min(task_count(self.spark), self.now.count() // ROWS_PER_TASK))
+        self.replace(self.now.repartition(parts, "s"))
 
-    def pair_counts(self, code: dict[str, str]) -> DataFrame:
-        if not self.pending:
-            return self.counts
-        merged = self.segments.select("s", self._merged(code).alias("t"), "n")
-        after = F.struct(F.col("t").alias("s"), F.col("n"))
-        before = F.struct(F.col("s"), (-F.col("n")).alias("n"))
-        # A condition here, not a filter: a filter would apply all merges a second time.
-        changed = F.when(F.col("s") != F.col("t"), F.array(after, before))
-        difference = pair_rows(merged.select(F.inline(changed)), "s")
-        return _counted(self.counts.unionByName(difference))
-
-    def settle(self, code: dict[str, str]) -> None:
-        """Write both tables anew; a segment that became one symbol has no pairs left."""
-        merged = self.segments.select(self._merged(code).alias("s"), "n")
-        self._store(merged.where(F.char_length("s") > 1))
+    def replace(self, segments: DataFrame) -> None:
+        now, path = write_table(segments, "segments")
+        self.close()
+        self.now, self.path = now, path
+
+    def pairs(self) -> DataFrame:
+        return pair_rows(self.now, "s").groupBy("p").agg(F.sum("n").alias("n"))
 
     def close(self) -> None:
-        for path in self.paths:
-            drop_table(self.spark, path)
+        drop_table(self.spark, self.path)
 
 
 def learn_merges(
     segments: DataFrame, n_merges: int, alphabet: set[str], max_piece: int = MAX_PIECE
 ) -> list[tuple[str, str]]:
-    """The ordered merge list: most frequent pair first, ties by the pieces themselves."""
-    code = {c: c for c in alphabet}
-    piece = dict(code)
-    free = (chr(i) for i in range(PRIVATE_START, 0x110000) if chr(i) not in alphabet)
-    merges: list[tuple[str, str]] = []
-    width = RANKED_PAIRS
-    state = SegmentState(segments)
+    """The ordered merge list: most frequent pair first, ties by the pieces themselves.
+
+    The number of pairs kept together follows the number of parts that they give, which is all that
+    comes to the driver: at most ``MOST_PARTS``, and ``MOST_PAIRS`` pairs. A round takes at least one merge.
+    """
+    merges = Merges(alphabet, max_piece)
+    table = SegmentTable(segments)
+    width = FIRST_PAIRS
     try:
-        while len(merges) < n_merges:
-            if len(state.pending) >= PENDING_MERGES:
-                state.settle(code)
-            ranked = state.pair_counts(code).orderBy(F.desc("n"), "p").limit(width).collect()
-            pairs = [(r["n"], piece[r["p"][0]], piece[r["p"][1]]) for r in ranked]
-            if not pairs:
-                break
-            new = PairRanking(pairs, len(pairs) < width, set(code), max_piece).take(n_merges - len(merges))
-            if new is None:
-                width *= 2
-                continue
-            if not new:
+        while len(merges.made) < n_merges:
+            known = len(merges.made)
+            counts, path = write_table(spelled_pairs(table.pairs(), merges), "pairs")
+            order = [F.desc("n"), "a", "b"]
+            ranked = counts.orderBy(*order).limit(width + 1).collect()
+            while width:
+                floor = ranked[width]["n"] if len(ranked) > width else 0
+                found = cut_parts(table.now, {r["p"] for r in ranked[:width]}).limit(MOST_PARTS + 1).collect()
+                if len(found) <= MOST_PARTS:
+                    merges.take(PartIndex({r["part"]: r["n"] for r in found}, merges.piece), floor, n_merges)
+                    break
+                width //= 2
+            if len(merges.made) == known:
+                # More ties than fit: the very first pair that may be merged.
+                first = counts.where("open").orderBy(*order).first()
+                if first is not None:
+                    merges.add(first["p"])
+            drop_table(table.spark, path)
+            if len(merges.made) == known:
                 break
-            for a, b in new:
-                code[a + b] = next(free)
-                piece[code[a + b]] = a + b
-            merges += new
-            state.pending += new
+            growth = 4 if len(found) * 16 < MOST_PARTS else 2 if len(found) * 4 < MOST_PARTS else 1
+            width = min(MOST_PAIRS, max(1, width) * growth)
+            new = [(merges.code[a] + merges.code[b], merges.code[a + b]) for a, b in merges.made[known:]]
+            if len(merges.made) < n_merges:
+                table.replace(apply_merges(table.now, new))
     finally:
-        state.close()
-    return merges
+        table.close()
+    return merges.made
 
 
 def vocab_rows(merges: list[str], alphabet: list[str]) -> list[tuple[int, str, float, str]]:

@@ -62,8 +62,10 @@ def test_pair_counts_of_long_segments(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_batched_merges_equal_single_merges(spark, seed, monkeypatch):
-    monkeypatch.setattr(bpe_train, "PENDING_MERGES", 5)
-    monkeypatch.setattr(bpe_train, "RANKED_PAIRS", [2048, 7, 3][seed])
+    monkeypatch.setattr(bpe_train, "FIRST_PAIRS", [64, 2, 5][seed])
+    monkeypatch.setattr(bpe_train, "MOST_PAIRS", [16_384, 3, 16_384][seed])
+    monkeypatch.setattr(bpe_train, "MOST_PARTS", [100_000, 100_000, 4][seed])
+    monkeypatch.setattr(bpe_train, "HELD_PARTS", [50_000, 2, 2][seed])
     rng = random.Random(seed)
     letters = "abcde"[: 2 + seed]
     data = {}
@@ -83,6 +85,26 @@ def test_merges_with_ties_runs_and_length_cap(spark):
     assert bpe_train.learn_merges(words_table(spark, known), 10, set("lowernstid")) == plain_merges(known, 10)
 
 
+def test_ties_wider_than_a_round(spark, monkeypatch):
+    """Every pair occurs equally often and one pair is ranked at a time, so each round takes the first in order."""
+    monkeypatch.setattr(bpe_train, "FIRST_PAIRS", 1)
+    monkeypatch.setattr(bpe_train, "MOST_PAIRS", 1)
+    data = {"bad": 2, "cab": 2, "dcb": 2, "acd": 2}
+    assert bpe_train.learn_merges(words_table(spark, data), 8, set("abcd")) == plain_merges(data, 8)
+
+
+def test_few_rounds_for_many_merges(spark, monkeypatch):
+    """Rounds follow the spread of the counts, not the number of merges."""
+    rng = random.Random(11)
+    data = {"▁" + "".join(rng.choices("abcdefghijklmnop", range(16, 0, -1), k=rng.randint(2, 12))): rng.randint(1, 500) for _ in range(300)}
+    rounds = []
+    replace = bpe_train.SegmentTable.replace
+    monkeypatch.setattr(bpe_train.SegmentTable, "replace", lambda self, df: (rounds.append(1), replace(self, df))[1])
+    got = bpe_train.learn_merges(words_table(spark, data), 120, {c for w in data for c in w})
+    assert got == plain_merges(data, 120)
+    assert len(rounds) <= 6
+
+
 def test_vocabulary_layout_and_errors(spark):
     words = spark.createDataFrame([("▁low", 5), ("▁lower", 2), ("▁newest", 6), ("▁widest", 3)], "word string, n long")
     rows = bpe_train.train_vocab(words, 259 + 11 + 6).orderBy("id").collect()
