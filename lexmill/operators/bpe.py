@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexmill.operators.bpe_train import FIRST_MERGE_ID, MAX_VOCAB
-from lexmill.operators.chars import joined_bytes, with_markers
+from lexmill.operators.chars import joined_bytes, joined_bytes_sql, with_markers
 
 WORD_CACHE = 200_000  # distinct words a Python worker remembers
 
@@ -114,9 +114,15 @@ class BpeTokenizer:
             self.encoder()(text), self.bos if bos else None, self.eos if eos else None
         )
 
-    def decode(self, ids: Column) -> Column:
-        """Bytes of all pieces joined and read as UTF-8; specials vanish, so does one
-        leading space."""
+    def sql_functions(self) -> dict[str, str]:
+        """Decoding as SQL: signature and body."""
+        text = f"make_valid_utf8(CAST({joined_bytes_sql('ids', self._bytes_by_id(), '')} AS STRING))"
+        return {"bpe_decode(ids ARRAY<INT>) RETURNS STRING": f"regexp_replace({text}, '^ ', '')"}
+
+    def python_functions(self) -> dict:
+        return {"bpe_encode": self.encoder()}
+
+    def _bytes_by_id(self) -> list[str]:
         first = len(("<unk>", "<s>", "</s>"))
         table = []
         for i, p in enumerate(self.pieces):
@@ -126,7 +132,12 @@ class BpeTokenizer:
                 table.append(f"{i - first:02X}")
             else:
                 table.append(p.replace("▁", " ").encode().hex().upper())
-        text = F.make_valid_utf8(joined_bytes(ids, table, "").cast("string"))
+        return table
+
+    def decode(self, ids: Column) -> Column:
+        """Bytes of all pieces joined and read as UTF-8; specials vanish, so does one
+        leading space."""
+        text = F.make_valid_utf8(joined_bytes(ids, self._bytes_by_id(), "").cast("string"))
         return F.when(text.startswith(" "), F.substring(text, 2, 2**31 - 1)).otherwise(text)
 
 

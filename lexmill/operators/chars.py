@@ -26,21 +26,37 @@ class CharTokenizer:
             raise ValueError("a character vocabulary has more rows than code points")
         return cls({r["ch"]: r["id"] for r in rows})
 
-    def encode(self, text: Column, bos: bool = False, eos: bool = False) -> Column:
+    def _ids_by_code(self) -> str:
         by_code = {ord(c): i for c, i in self.pieces.items() if len(c) == 1}
-        table = ",".join(str(by_code.get(c, self.unk)) for c in range(max(by_code, default=0) + 1))
+        return ",".join(str(by_code.get(c, self.unk)) for c in range(max(by_code, default=0) + 1))
+
+    def _bytes_by_id(self) -> tuple[list[str], str]:
+        unknown = b"<unk>".hex()
+        by_id = {i: c.encode().hex() for c, i in self.pieces.items()}
+        return [by_id.get(i, unknown) for i in range(max(by_id, default=0) + 1)], unknown
+
+    def sql_functions(self) -> dict[str, str]:
+        """The two directions as SQL: signature and body."""
+        ids = f"get(CAST(split('{self._ids_by_code()}', ',') AS ARRAY<INT>), ascii(c))"
+        encode = f"transform(filter(split(t, ''), c -> c <> ''), c -> coalesce({ids}, {self.unk}))"
+        return {
+            "char_encode(t STRING) RETURNS ARRAY<INT>": encode,
+            "char_decode(ids ARRAY<INT>) RETURNS STRING": f"CAST({joined_bytes_sql('ids', *self._bytes_by_id())} AS STRING)",
+        }
+
+    def python_functions(self) -> dict:
+        return {}
+
+    def encode(self, text: Column, bos: bool = False, eos: bool = False) -> Column:
         # A constant array: the lookup by code point costs the same for any alphabet.
-        ids = F.split(F.lit(table), ",").cast("array<int>")
+        ids = F.split(F.lit(self._ids_by_code()), ",").cast("array<int>")
         body = F.transform(
             characters(text), lambda c: F.coalesce(F.get(ids, F.ascii(c)), F.lit(self.unk))
         )
         return with_markers(body, self.bos if bos else None, self.eos if eos else None)
 
     def decode(self, ids: Column) -> Column:
-        unknown = b"<unk>".hex()
-        by_id = {i: c.encode().hex() for c, i in self.pieces.items()}
-        table = [by_id.get(i, unknown) for i in range(max(by_id, default=0) + 1)]
-        return joined_bytes(ids, table, unknown).cast("string")
+        return joined_bytes(ids, *self._bytes_by_id()).cast("string")
 
 
 def joined_bytes(ids: Column, hex_table: list[str], default: str) -> Column:
@@ -50,6 +66,12 @@ def joined_bytes(ids: Column, hex_table: list[str], default: str) -> Column:
     return F.unhex(F.array_join(pieces, ""))
 
 
+def joined_bytes_sql(ids: str, hex_table: list[str], default: str) -> str:
+    """``joined_bytes`` as a SQL expression."""
+    table = f"split('{','.join(hex_table)}', ',')"
+    return f"unhex(array_join(transform({ids}, i -> coalesce(get({table}, i), '{default}')), ''))"
+
+
 def with_markers(ids: Column, bos: int | None, eos: int | None) -> Column:
     """Put the begin and end ids around a token array; each side is optional."""
     parts = [F.array(F.lit(bos))] if bos is not None else []

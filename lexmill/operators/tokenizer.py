@@ -19,3 +19,11 @@ class Tokenizer(Protocol):
     def encode(self, text: Column, bos: bool = False, eos: bool = False) -> Column: ...
 
     def decode(self, ids: Column) -> Column: ...
+
+    def sql_functions(self) -> dict[str, str]:
+        """Signatures and bodies of SQL functions."""
+        ...
+
+    def python_functions(self) -> dict:
+        """Names and functions of what SQL cannot express."""
+        ...

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lexmill.functions import sql as sql_functions
 from lexmill.functions.text import words
-from lexmill.operators import corpus, nexttoken, packing, runlog, shards, stats, vocab
+from lexmill.operators import corpus, dictionary, nexttoken, packing, runlog, shards, stats, vocab
 from lexmill.operators.bpe import BpeTokenizer
 from lexmill.plans import flows
 from lexmill.session import fresh_path, write_table
@@ -24,6 +25,8 @@ EVAL_ITERS = 100
 SAMPLE_LINES = 4_000
 SAMPLE_SEED = 7
 BPE_SIZE = 2_000
+SMALL_BPE_SIZE = 500
+SQL_BLOCK_CHUNKS = 256
 BLOCK_TOKENS = 1_024
 TOP_K = 5
 TEMPERATURE = 0.8
@@ -168,6 +171,31 @@ def chunks(spark, sf_dir):
     return table.select("split", "shard", "chunk", ids_text("x"), ids_text("y"))
 
 
+def sql_chunks(spark, sf_dir):
+    """The chunks again, packed in SQL by the table function over blocks of the streams."""
+    tokens, tokenizer = _stored_char_tokens(spark, sf_dir)
+    sql_functions.register(spark, tokenizer)
+    packed = spark.sql(
+        """SELECT shard, chunk, array_join(x, ' ') AS x, array_join(y, ' ') AS y FROM pack_chunks(
+             TABLE(SELECT s.shard, b.block, b.start, b.ids
+                   FROM {streams} AS s, LATERAL stream_blocks(tokens, offset, stream_len, {context}, {width}) AS b)
+             PARTITION BY (shard, block) ORDER BY (start), {context})""",
+        streams=packing.document_offsets(tokens), context=CONTEXT, width=SQL_BLOCK_CHUNKS,
+    )
+    return packed.select(shards.split_of(F.col("shard"), N_SHARDS).alias("split"), "*")
+
+
+def sql_char_roundtrip(spark, sf_dir):
+    """Words, character ids and the text again, all by functions in SQL."""
+    articles = _articles(spark, sf_dir)
+    sql_functions.register(spark, flows.char_tokenizer(articles))
+    return spark.sql(
+        """SELECT doc_id, word_total(content) AS n_words, array_join(ids, ' ') AS ids, char_decode(ids) AS text
+           FROM (SELECT doc_id, strip_text(content) AS content, char_encode(content) AS ids FROM {articles})""",
+        articles=articles,
+    )
+
+
 def _batches(tokens):
     files = flows.shard_files(tokens, N_SHARDS, WORKERS)
     return flows.batch_table(files, CONTEXT, BATCH, EPOCHS)
@@ -266,6 +294,25 @@ def bpe_roundtrip(spark, sf_dir):
     return ids.select("doc_id", tokenizer.decode(F.col("ids")).alias("text"))
 
 
+def bpe_dictionary_ids(spark, sf_dir):
+    """Byte-pair ids of all documents by the dictionary of distinct words, with a small vocabulary."""
+    articles = _articles(spark, sf_dir)
+    tokenizer = BpeTokenizer.from_vocab(flows.bpe_vocab(articles, SMALL_BPE_SIZE))
+    encoded = dictionary.dictionary_encode(articles.select("doc_id", "content"), tokenizer)
+    return encoded.select("doc_id", ids_text("ids"))
+
+
+def bpe_sql_ids(spark, sf_dir):
+    """Byte-pair ids and the text again by functions in SQL; the map-only form, with a small vocabulary."""
+    articles = _articles(spark, sf_dir)
+    sql_functions.register(spark, BpeTokenizer.from_vocab(flows.bpe_vocab(articles, SMALL_BPE_SIZE)))
+    return spark.sql(
+        """SELECT doc_id, array_join(ids, ' ') AS ids, bpe_decode(ids) AS text
+           FROM (SELECT doc_id, bpe_encode(content) AS ids FROM {articles})""",
+        articles=articles,
+    )
+
+
 def bpe_shard_stats(spark, sf_dir):
     """Tokens per shard with the byte-pair vocabulary."""
     articles = _articles(spark, sf_dir)
@@ -381,6 +428,21 @@ def stream_ingest(spark, sf_dir):
     return packed.select("shard", "chunk", ids_text("x"), ids_text("y"))
 
 
+def stream_growing(spark, sf_dir):
+    """Shards that come in two files each; the stream runs after each half and continues its chunks."""
+    folder, target, checkpoint = (fresh_path(spark, label) for label in ("growing", "ingested", "stream"))
+    placed = shards.assign_shards(corpus.articles(corpus_io.raw_articles(spark, sf_dir)), STREAM_SHARDS)
+    place = F.conv(F.substring("ord", 1, 12), 16, 10).cast("bigint")
+    middle = placed.groupBy("shard").agg(F.percentile_approx(place, 0.5).alias("middle"))
+    halves = placed.join(F.broadcast(middle), "shard").withColumn("second", place > F.col("middle")).drop("middle")
+    tokenizer = flows.char_tokenizer(_articles(spark, sf_dir))
+    for half in (~F.col("second"), F.col("second")):
+        jsonl.append_files(halves.where(half), folder, STREAM_SHARDS)
+        streaming.ingest_growing(spark, folder, target, checkpoint, tokenizer, CONTEXT, files_per_batch=6).awaitTermination()
+    packed = spark.read.parquet(target)
+    return packed.select("shard", "chunk", ids_text("x"), ids_text("y"))
+
+
 def stream_counts(spark, sf_dir):
     folder = _shard_files(spark, sf_dir, STREAM_SHARDS)
     target = fresh_path(spark, "counts")
@@ -408,5 +470,5 @@ QUERIES = [
     loglog_fit, pair_counts, bpe_vocab, bpe_roundtrip, bpe_shard_stats, next_counts,
     cross_entropy, eval_by_split, topk_next, softmax_next, greedy_next, draw_next, run_every_k,
     run_step_seconds, run_best, run_ema, json_roundtrip, tokbin_roundtrip, stream_ingest,
-    stream_counts,
+    stream_counts, stream_growing, sql_chunks, sql_char_roundtrip, bpe_dictionary_ids, bpe_sql_ids,
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lexmill.functions.text import WHITESPACE
 from lexmill.operators import shards, vocab
-from lexmill.operators.bpe_train import FIRST_MERGE_ID, MAX_PIECE
+from lexmill.operators.bpe_train import FIRST_MERGE_ID, MAX_PIECE, SPECIALS
 from lexmill.plans import catalog as c
 
 DOCS = f"""
@@ -109,27 +109,60 @@ segments AS (SELECT segment, CAST(sum(n) AS BIGINT) AS n FROM (
     '▁[^▁0-9\\x00-\\x1f\\x7f-\\x{{a0}}]+|[^▁0-9\\x00-\\x1f\\x7f-\\x{{a0}}]{{2,}}')) AS segment, n FROM words)
   GROUP BY segment)"""
 
-# One merge per recursion step; every symbol is written between chr(1) and chr(2).
-MERGES = f"""{SEGMENTS},
+def merges(size: int) -> str:
+    """One merge per recursion step; every symbol is written between chr(1) and chr(2)."""
+    return f"""{SEGMENTS},
 alphabet AS (SELECT ch, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT unnest(string_split(word, '')) AS ch, n FROM words)
   WHERE NOT regexp_matches(ch, '[\\x00-\\x1f\\x7f-\\x{{a0}}]') GROUP BY ch),
-spelled AS (SELECT chr(1) || array_to_string(string_split(segment, ''), chr(2) || chr(1)) || chr(2) AS s, n
-            FROM segments),
+spelled AS (SELECT {marked('segment')} AS s, n FROM segments),
 steps AS (
-  SELECT 0 AS step, CAST(NULL AS VARCHAR) AS piece, s, n FROM spelled
+  SELECT 0 AS step, CAST(NULL AS VARCHAR) AS a, CAST(NULL AS VARCHAR) AS b, s, n FROM spelled
   UNION ALL
-  SELECT step + 1, piece, replace(s, chr(1) || a || chr(2) || chr(1) || b || chr(2), chr(1) || a || b || chr(2)), n
+  SELECT step + 1, best.a, best.b, {joined('s')}, n
   FROM (SELECT step, s, n FROM steps),
-       (SELECT a, b, a || b AS piece FROM (
+       (SELECT a, b FROM (
           SELECT l[i] AS a, l[i + 1] AS b, sum(n) AS m FROM (
             SELECT l, n, unnest(range(1, len(l))) AS i FROM (
               SELECT string_split(s[2:-2], chr(2) || chr(1)) AS l, n FROM steps))
           GROUP BY 1, 2)
         WHERE length(a || b) <= {MAX_PIECE}
         ORDER BY m DESC, a, b LIMIT 1) best
-  WHERE step < {c.BPE_SIZE - FIRST_MERGE_ID} - (SELECT count(*) FROM alphabet)),
-merges AS (SELECT DISTINCT step, piece FROM steps WHERE step > 0)"""
+  WHERE step < {size - FIRST_MERGE_ID} - (SELECT count(*) FROM alphabet)),
+merges AS (SELECT DISTINCT step, a, b, a || b AS piece FROM steps WHERE step > 0),
+pieces AS (
+  SELECT 0 AS part, 0 AS i, '<unk>' AS piece, 'special' AS kind UNION ALL SELECT 0, 1, '<s>', 'special'
+  UNION ALL SELECT 0, 2, '</s>', 'special'
+  UNION ALL SELECT 1, range, '<0x' || printf('%02X', range) || '>', 'byte' FROM range(256)
+  UNION ALL SELECT 2, step, piece, 'merge' FROM merges
+  UNION ALL SELECT 3, row_number() OVER (ORDER BY n DESC, ch), ch, 'char' FROM alphabet),
+ids AS (SELECT CAST(row_number() OVER (ORDER BY part, i) - 1 AS INTEGER) AS id, piece, kind FROM pieces)"""
+
+
+def marked(text: str) -> str:
+    return f"chr(1) || array_to_string(string_split({text}, ''), chr(2) || chr(1)) || chr(2)"
+
+
+def joined(symbols: str) -> str:
+    return f"replace({symbols}, chr(1) || a || chr(2) || chr(1) || b || chr(2), chr(1) || a || b || chr(2))"
+
+
+def encoded(size: int) -> str:
+    """Ids of all documents: every distinct word goes through the merges in order."""
+    return f"""WITH RECURSIVE {merges(size)},
+places AS (SELECT doc_id, unnest(l) AS w, generate_subscripts(l, 1) AS place
+           FROM (SELECT doc_id, string_split(content, ' ') AS l FROM docs)),
+worked AS (
+  SELECT 0 AS step, w, {marked(f"'{vocab.WORD_START}' || w")} AS e FROM (SELECT DISTINCT w FROM places WHERE w <> '')
+  UNION ALL SELECT m.step, w, {joined('e')} FROM worked JOIN merges m ON m.step = worked.step + 1),
+symbols AS (SELECT w, unnest(l) AS symbol, generate_subscripts(l, 1) AS i FROM (
+  SELECT w, string_split(e[2:-2], chr(2) || chr(1)) AS l FROM worked WHERE step = (SELECT max(step) FROM merges))),
+known AS (SELECT id, piece FROM ids WHERE kind IN ('merge', 'char')),
+word_ids AS (SELECT w, string_agg(coalesce(CAST(id AS VARCHAR), array_to_string(list_transform(range(1, strlen(symbol) + 1),
+    lambda k: ('0x' || hex(encode(symbol))[2 * k - 1:2 * k])::INT + {len(SPECIALS)}), ' ')), ' ' ORDER BY i) AS t
+  FROM symbols LEFT JOIN known ON piece = symbol GROUP BY w),
+doc_ids AS (SELECT doc_id, coalesce(string_agg(t, ' ' ORDER BY place), '') AS ids
+  FROM places LEFT JOIN word_ids USING (w) GROUP BY doc_id)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -172,6 +205,11 @@ FROM toks GROUP BY shard"""
   FROM all_shards LEFT JOIN streams USING (shard))
 SELECT shard, stream_len FROM l WHERE stream_len // {8 * c.CONTEXT * c.CONTEXT} - 1 <= 0"""
     q["chunks"] = pairs() + EXAMPLES
+    q["sql_chunks"] = q["chunks"]
+    q["sql_char_roundtrip"] = f"""WITH {DOCS}, {CHARS}
+SELECT doc_id, len({ws_words}) AS n_words, coalesce(i, '') AS ids, content AS text FROM docs LEFT JOIN (
+  SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) AS i FROM chars JOIN cvocab USING (ch) GROUP BY doc_id)
+USING (doc_id)"""
     q["epochs"] = f"""{ordered(1, c.EPOCHS)} SELECT epoch, split, count(*) AS n_examples
 FROM ordered GROUP BY epoch, split"""
     q["chunk_order"] = f"""{ordered(c.WORKERS, c.EPOCHS)}
@@ -208,15 +246,12 @@ SELECT grp, round(m, 6) AS m, round(c, 6) AS c, round(pow(10, m * log10(1000) +
 SELECT l[i] AS a, l[i + 1] AS b, CAST(sum(n) AS BIGINT) AS n FROM (
   SELECT l, n, unnest(range(1, len(l))) AS i FROM (SELECT string_split(segment, '') AS l, n FROM segments))
 GROUP BY 1, 2"""
-    q["bpe_vocab"] = f"""WITH RECURSIVE {MERGES},
-pieces AS (
-  SELECT 0 AS part, 0 AS i, '<unk>' AS piece, 'special' AS kind UNION ALL SELECT 0, 1, '<s>', 'special'
-  UNION ALL SELECT 0, 2, '</s>', 'special'
-  UNION ALL SELECT 1, range, '<0x' || printf('%02X', range) || '>', 'byte' FROM range(256)
-  UNION ALL SELECT 2, step, piece, 'merge' FROM merges
-  UNION ALL SELECT 3, row_number() OVER (ORDER BY n DESC, ch), ch, 'char' FROM alphabet),
-ids AS (SELECT CAST(row_number() OVER (ORDER BY part, i) - 1 AS INTEGER) AS id, piece, kind FROM pieces)
+    q["bpe_vocab"] = f"""WITH RECURSIVE {merges(c.BPE_SIZE)}
 SELECT id, piece, CAST(0 - greatest(id - {FIRST_MERGE_ID}, 0) AS DOUBLE) AS score, kind FROM ids"""
+    q["bpe_dictionary_ids"] = f"{encoded(c.SMALL_BPE_SIZE)} SELECT doc_id, ids FROM doc_ids"
+    single = "trim(regexp_replace(replace(content, '▁', ' '), ' +', ' ', 'g'), ' ')"
+    q["bpe_sql_ids"] = f"""{encoded(c.SMALL_BPE_SIZE)}
+SELECT doc_id, ids, {single} AS text FROM doc_ids JOIN docs USING (doc_id)"""
     q["bpe_roundtrip"] = f"""WITH {DOCS} SELECT doc_id,
 trim(regexp_replace(replace(content, '▁', ' '), ' +', ' ', 'g'), ' ') AS text FROM docs"""
     q["next_counts"] = pairs() + MODEL + " SELECT x, y, n, total, round(p, 9) AS p FROM model"
@@ -252,6 +287,7 @@ FROM placed p JOIN documents d USING (doc_id)"""
     q["tokbin_roundtrip"] = f"""{tokens()} SELECT shard, t // {c.BLOCK_TOKENS} * {c.BLOCK_TOKENS} AS start,
 string_agg(CAST(id AS VARCHAR), ' ' ORDER BY t) AS tokens FROM toks GROUP BY 1, 2"""
     q["stream_ingest"] = pairs(c.CONTEXT, c.STREAM_SHARDS) + EXAMPLES.replace("SELECT split, ", "SELECT ", 1)
+    q["stream_growing"] = q["stream_ingest"]
     q["stream_counts"] = f"""{tokens(c.STREAM_SHARDS)} SELECT shard, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
 FROM lens GROUP BY shard"""
     return q

@@ -14,12 +14,21 @@ def write_shards(sharded: DataFrame, path: str, n_shards: int, overwrite: bool =
     Shard i goes to task i, in shuffle order. An existing target is an error unless
     ``overwrite`` is given.
     """
+    _write(sharded, path, n_shards, "overwrite" if overwrite else "errorifexists")
+
+
+def append_files(sharded: DataFrame, path: str, n_shards: int) -> None:
+    """One more file for each shard of the table, whose documents follow those of the files before."""
+    _write(sharded, path, n_shards, "append")
+
+
+def _write(sharded: DataFrame, path: str, n_shards: int, mode: str) -> None:
     (
         sharded.select("shard", "ord", "doc_id", "title", "content")
         .repartitionById(n_shards, F.col("shard"))
         .sortWithinPartitions("shard", "ord", "doc_id")
         .select("shard", "title", "content")
-        .write.mode("overwrite" if overwrite else "errorifexists")
+        .write.mode(mode)
         .partitionBy("shard")
         .json(path)
     )

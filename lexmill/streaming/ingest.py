@@ -1,12 +1,17 @@
 """Incremental ingest of shard files.
 
-A shard file is a complete unit, so packing it needs no state from other batches. The
+``ingest`` takes files that are whole shards, so packing them needs no state from other batches.
+``ingest_growing`` takes shards that come in several files and keeps the open end of each stream. The
 split is decided when the result is read, since it depends on the full shard list.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lexmill import schemas
 from lexmill.functions.text import strip
@@ -74,6 +79,87 @@ def ingest(
     )
 
 
+# Fixed value: the state store that arbitrary state needs.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """``shard, file, byte, line, content``: lines of a piece of a file are numbered where they are read."""
+    schema = pa.schema(
+        [("shard", pa.int32()), ("file", pa.string()), ("byte", pa.int64()), ("line", pa.int64()), ("content", pa.string())]
+    )
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        line = 0
+        for batch in batches:
+            own = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
+            own["line"] = pa.array(range(line, line + batch.num_rows), pa.int64())
+            line += batch.num_rows
+            yield pa.RecordBatch.from_arrays([own[f.name].cast(f.type) for f in schema], schema=schema)
+
+    plain = lines.select("shard", F.col("piece.file").alias("file"), F.col("piece.byte").alias("byte"), "content")
+    return plain.mapInArrow(number, "shard int, file string, byte bigint, line bigint, content string")
+
+
+class PackShard(StatefulProcessor):
+    """Chunks of one shard's stream; the state is the next chunk's number and the tokens from its start on.
+
+    A chunk is final as soon as the stream holds its window and the next one, since only the last
+    full window is dropped. So fewer than two windows stay in the state.
+    """
+
+    def __init__(self, context: int):
+        self.context = context
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open_end = handle.getValueState("open_end", "chunk bigint, ids array<int>")
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        parts = sorted(rows, key=lambda r: (r["file"], r["byte"], r["line"]))
+        chunk, held = self.open_end.get() if self.open_end.exists() else (0, [])
+        held = list(held)
+        c = self.context
+        for part in parts:
+            held += part["tokens"]
+            at = 0
+            while len(held) - at >= 2 * c:
+                window = held[at : at + c + 1]
+                yield Row(shard=key[0], chunk=chunk, x=window[:-1], y=window[1:])
+                chunk, at = chunk + 1, at + c
+            held = held[at:]
+        self.open_end.update((chunk, held))
+
+    def close(self) -> None:
+        pass
+
+
+def ingest_growing(
+    spark: SparkSession, folder: str, target: str, checkpoint: str, tokenizer, context: int, files_per_batch: int = 1
+):
+    """Start the ingest of shards that grow by files: ``shard, chunk, x, y`` are appended to the target.
+
+    Files continue their shard's stream in the order in which batches take them, and by name within
+    a batch. Whatever the batches are, the rows are those of packing the whole shards at once. Lines
+    are encoded before they meet by shard; a task then holds one shard's tokens of one batch.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    tokens = tokenizer.encode(strip(F.col("content")), bos=True, eos=True)
+    encoded = numbered_lines(shard_stream(spark, folder, files_per_batch)).select(
+        "shard", "file", "byte", "line", tokens.alias("tokens")
+    )
+    packed = encoded.groupBy("shard").transformWithState(
+        PackShard(context), "shard int, chunk bigint, x array<int>, y array<int>", "Append", "None"
+    )
+    return (
+        packed.writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def running_counts(
     spark: SparkSession, folder: str, target: str, checkpoint: str, tokenizer, files_per_batch: int = 1
 ):

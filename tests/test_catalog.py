@@ -10,7 +10,7 @@ from tests.oracle_check import compare, connect
 
 SLOW = {
     "corpus_half", "prefixes", "bpe_vocab", "bpe_roundtrip", "bpe_shard_stats", "tokbin_roundtrip", "stream_ingest",
-    "stream_counts", "eval_by_split", "topk_next", "greedy_next", "draw_next", "softmax_next",
+    "stream_counts", "stream_growing", "bpe_dictionary_ids", "eval_by_split", "topk_next", "greedy_next", "draw_next", "softmax_next",
 }
 CATALOG = [q.__name__ for q in catalog.QUERIES]
 NAMES = [n for n in CATALOG if os.environ.get("LEXMILL_ALL") or n not in SLOW]

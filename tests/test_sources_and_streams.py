@@ -154,3 +154,44 @@ def test_stream_resumes_with_new_files_only(spark):
     assert shards_seen.select("shard").distinct().count() == 4
     assert shards_seen.where("count > 1").isEmpty()
     assert ingest.latest_counts(spark, counts).agg(F.sum("n_docs")).first()[0] == 80
+
+
+@pytest.mark.parametrize("files", [1, 8])
+def test_growing_shards_equal_whole_shards(spark, files):
+    """Three files of each shard, in many batches or few, in one run or three, give the rows of the batch job."""
+    path, out, cp = fresh_path(spark, "in"), fresh_path(spark, "out"), fresh_path(spark, "cp")
+    tok = tokenizer(spark)
+    articles = corpus.articles(raw(spark, 90))
+    placed = shards.assign_shards(articles, 4)
+    keys = sorted(r["ord"] for r in placed.select("ord").collect())
+    cuts = ["", keys[17], keys[58], "z"]
+    for low, high in zip(cuts, cuts[1:]):
+        part = placed.where((F.col("ord") >= low) & (F.col("ord") < high))
+        jsonl.append_files(part, path, 4)
+        if files == 8:
+            ingest.ingest_growing(spark, path, out, cp, tok, 16, files).awaitTermination()
+    if files == 1:
+        # Names of the files follow no order, so each shard's own order is read from the stream's batches.
+        run = ingest.ingest_growing(spark, path, out, cp, tok, 16, files)
+        run.awaitTermination()
+    got = spark.read.parquet(out)
+    tokens = flows.stored_tokens(corpus.stripped(articles), tok, 4)
+    want = flows.example_table(tokens, 16, 4).select("shard", "chunk", "x", "y")
+    assert got.count() == want.count()
+    assert got.select("shard", "chunk").exceptAll(want.select("shard", "chunk")).isEmpty()
+    if files == 8:
+        assert got.exceptAll(want).isEmpty()
+
+
+def test_shards_below_two_windows_wait(spark):
+    path, out, cp = fresh_path(spark, "in"), fresh_path(spark, "out"), fresh_path(spark, "cp")
+    tok = tokenizer(spark)
+    schema = "shard int, ord string, doc_id long, title string, content string"
+    jsonl.append_files(spark.createDataFrame([(0, "a", 1, "t", "texte"), (1, "b", 2, "t", "")], schema), path, 2)
+    ingest.ingest_growing(spark, path, out, cp, tok, 8).awaitTermination()
+    jsonl.append_files(spark.createDataFrame([(0, "c", 3, "t", "xtextex")], schema), path, 2)
+    ingest.ingest_growing(spark, path, out, cp, tok, 8).awaitTermination()
+    rows = spark.read.parquet(out).collect()
+    assert [(r["shard"], r["chunk"]) for r in rows] == [(0, 0)]
+    stream = [0, *(tok.pieces[c] for c in "texte"), 1, 0, *(tok.pieces[c] for c in "xtextex"), 1]
+    assert rows[0]["x"] == stream[:8] and rows[0]["y"] == stream[1:9]

@@ -311,3 +311,59 @@ def test_queries_train_the_default_vocabulary(monkeypatch):
         with pytest.raises(StopIteration):
             query(None, "none")
     assert sizes == [2_000] * 3
+
+
+@pytest.mark.parametrize("frequent", [3, 10_000])
+def test_dictionary_encoding_equals_map_only(spark, monkeypatch, frequent):
+    """With a low bound hardly a word is frequent, with a high one all are."""
+    from lexmill.operators import dictionary
+
+    monkeypatch.setattr(dictionary, "FREQUENT", frequent)
+    rng = random.Random(12)
+    rows = [(k, " ".join(rng.choice(["low", "lower", "a▁b", "▁", "2024", "é中", "x\ny", "", "a", "b"]) for _ in range(rng.randrange(30)))) for k in range(60)]
+    rows += [(1, rows[1][1]), (None, "low a"), (100, None), (101, ""), (102, "   "), (103, "low " * 5_000)]
+    texts = spark.createDataFrame([(i, t, 5, "w") for i, t in rows], "doc_id long, content string, place int, word string").repartition(3)
+    tokenizer = small_tokenizer()
+    got = dictionary.dictionary_encode(texts, tokenizer).select("doc_id", "content", "ids")
+    want = texts.select("doc_id", "content", tokenizer.encode(F.col("content")).alias("ids"))
+    assert got.count() == len(rows) and got.exceptAll(want).isEmpty()
+    assert dictionary.dictionary_encode(texts.limit(0), tokenizer).count() == 0
+
+
+def test_tokenizers_in_sql(spark):
+    bpe_tokenizer = small_tokenizer()
+    chars = CharTokenizer({"<s>": 0, "</s>": 1, "<unk>": 2, "a": 3, "'": 4, "é": 5, "😀": 6, " ": 7})
+    sql.register(spark, bpe_tokenizer, chars)
+    texts = spark.createDataFrame([("low a",), ("",), ("é'😀 z",), (" a  b",), (None,)], "t string")
+    got = spark.sql(
+        "SELECT bpe_encode(t) AS b, bpe_decode(bpe_encode(t)) AS bt, char_encode(t) AS c, char_decode(char_encode(t)) AS ct FROM {texts}",
+        texts=texts,
+    )
+    t = F.col("t")
+    want = texts.select(
+        bpe_tokenizer.encode(t), bpe_tokenizer.decode(bpe_tokenizer.encode(t)), chars.encode(t), chars.decode(chars.encode(t))
+    )
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+
+
+@pytest.mark.parametrize("width", [1, 2, 100])
+def test_packing_in_sql_equals_plain_chunks(spark, width):
+    rng = random.Random(width)
+    context, rows, streams = 4, [], {}
+    for shard, lengths in enumerate([[3, 1, 20, 0, 7], [2, 2], [], [50], [4, 4], [1] * 30, [9]]):
+        stream = [rng.randrange(100) for _ in range(sum(lengths))]
+        streams[shard], at = stream, 0
+        for n in lengths:
+            rows.append((shard, at, len(stream), stream[at : at + n]))
+            at += n
+    table = spark.createDataFrame(rows, "shard int, offset long, stream_len long, tokens array<int>").repartition(3)
+    sql.register(spark)
+    got = spark.sql(
+        """SELECT * FROM pack_chunks(
+             TABLE(SELECT s.shard, b.block, b.start, b.ids
+                   FROM {streams} AS s, LATERAL stream_blocks(tokens, offset, stream_len, {context}, {width}) AS b)
+             PARTITION BY (shard, block) ORDER BY (start), {context})""",
+        streams=table, context=context, width=width,
+    ).collect()
+    want = [(s, i, c[:-1], c[1:]) for s, stream in streams.items() for i, c in enumerate(plain_chunks(stream, context))]
+    assert sorted((r["shard"], r["chunk"], r["x"], r["y"]) for r in got) == sorted(want)
