@@ -23,7 +23,7 @@ RECALL = 0.999
 #: Sampled minima of each set: the tokens that paths are made of, and their lowest bytes for sketches.
 TOKENS = 128
 #: Members of a bucket that are compared all with all; larger buckets are split further.
-SMALL = 200
+SMALL = 512
 #: Longest path. What is still large then is one group of candidates.
 DEPTH = 12
 #: Part of a bucket's members that must resemble its pivot if the bucket is to be one group of candidates:
@@ -36,6 +36,8 @@ BLOCK_SETS = 512
 BLOCK_SHINGLES = 2_000_000
 #: Tokens that are multiplied at a time.
 COLUMNS = 8_192
+#: Most rows of hashes and ids that are broadcast; what is larger is joined by an exchange.
+BROADCAST_ROWS = 1_000_000
 #: Word hashes that a worker remembers.
 REMEMBERED = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -206,16 +208,23 @@ def _agreement() -> float:
     return TOKENS * SIMILARITY - SLACK * math.sqrt(TOKENS * SIMILARITY * (1 - SIMILARITY))
 
 
-def _near_pivot(large: DataFrame, filled: DataFrame) -> DataFrame:
-    """``node, key, pivot, alike``: whether most members of the large bucket resemble its pivot."""
-    pivots = filled.select(F.col("key").alias("pivot"), F.col("tokens").alias("pivot_tokens"))
+def _near_pivot(large: DataFrame, tokens: DataFrame) -> tuple[DataFrame, str]:
+    """``node, key, pivot, tokens, alike``: whether most members of the large bucket resemble its pivot.
+
+    Every member's tokens are joined once; of pivots there is one to a large bucket.
+    """
+    pivots = tokens.join(large.select(F.col("pivot").alias("key")).distinct(), "key").select(
+        F.col("key").alias("pivot"), F.col("tokens").alias("pivot_tokens")
+    )
     agree = F.size(F.filter(F.zip_with("tokens", "pivot_tokens", lambda s, t: s == t), lambda same: same))
-    near, _ = write_table(
-        large.join(filled, "key").join(pivots, "pivot").select("node", "key", "pivot", (agree >= _agreement()).alias("near")),
+    near, path = write_table(
+        large.join(tokens, "key").join(pivots, "pivot").select(
+            "node", "key", "pivot", "tokens", (agree >= _agreement()).alias("near")
+        ),
         "large-buckets",
     )
     share = near.groupBy("node").agg((F.avg(F.col("near").cast("int")) >= ALIKE).alias("alike"))
-    return near.join(share, "node").select("node", "key", "pivot", "alike")
+    return near.join(share, "node").select("node", "key", "pivot", "tokens", "alike"), path
 
 
 def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -224,13 +233,19 @@ def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
     All runs walk down together: the rows of a level are (bucket, text). A bucket with one member
     ends, a small one is compared by sketches, and a larger one is split by the tokens that it
     samples, unless most members resemble its pivot. Deep paths need more runs for the recall;
-    those take only the texts that shared a large bucket, as all links of the others ended at the
+    those take only the texts that had a bucket split, as all links of the others ended at the
     first level. Each of these two groups may lose half of what the recall leaves.
     """
     spark = texts.sparkSession
     parts = task_count(spark)
-    filled = texts.where("tokens is not null").select("key", "tokens")
-    pool, found, done, depth = filled, [], 0, 1
+    pool = texts.where("tokens is not null").select("key", "tokens")
+    found, paths, done, depth, first = [], [], 0, 1, True
+
+    def kept(df: DataFrame, label: str) -> DataFrame:
+        table, path = write_table(df, label)
+        paths.append(path)
+        return table
+
     while done < (need := runs_needed(depth, (1 + recall) / 2)):
         roots = F.explode(F.transform(F.sequence(F.lit(done), F.lit(need - 1)), lambda r: F.xxhash64(r, F.lit(SEED))))
         level = pool.select("key", "tokens", roots.alias("root"))
@@ -242,28 +257,32 @@ def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
             members, members_path = write_table(rows.join(sizes.where("members > 1"), "node"), "shared-buckets")
             drop_table(spark, rows_path)
             small = members.where(F.col("members") <= SMALL).select("node", "key").join(
-                filled.select("key", _sketch(F.col("tokens")).alias("sketch")), "key"
+                pool.select("key", _sketch(F.col("tokens")).alias("sketch")), "key"
             )
             small = small.select("node", "key", "sketch").repartition(parts, "node").sortWithinPartitions("node", "key")
-            found.append(write_table(_compare_sketches(small).distinct(), "candidates")[0])
-            large = members.where(F.col("members") > SMALL)
-            judged, _ = write_table(_near_pivot(large, filled), "judged-buckets")
-            drop_table(spark, members_path)
-            if d == 1:
-                crowded = judged.select("key").distinct()
+            found.append(kept(_compare_sketches(small).distinct(), "candidates"))
+            judged, judged_path = _near_pivot(members.where(F.col("members") > SMALL), pool)
             whole = F.lit(True) if d == DEPTH else F.col("alike")
-            found.append(judged.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")))
-            large = judged.where(~whole)
-            if large.isEmpty():
+            found.append(kept(judged.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")), "candidates"))
+            split = judged.where(~whole)
+            drop_table(spark, members_path)
+            if split.isEmpty():
+                drop_table(spark, judged_path)
                 break
+            if first:  # whose buckets are split here; all later levels and runs read only these
+                first = False
+                pool = kept(split.select("key", "tokens").dropDuplicates(["key"]), "crowded-texts")
             depth = max(depth, d + 1)
-            level = large.join(filled, "key").select("key", _children(F.col("node"), F.col("tokens"), d))
-        if pool is filled:
-            pool, _ = write_table(filled.join(crowded, "key"), "crowded-texts")
+            level = kept(split.select("key", _children(F.col("node"), F.col("tokens"), d)), "children")
+            drop_table(spark, judged_path)
+        first = False
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
-    return edges.distinct()
+    edges, _ = write_table(edges.distinct(), "candidate-edges")
+    for path in paths:
+        drop_table(spark, path)
+    return edges
 
 
 def similar_pairs(sets: list[np.ndarray]) -> np.ndarray:
@@ -350,10 +369,17 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     an arbitrary one stays.
     """
     classes, _ = write_table(_classes(docs, id_col, text_col, recall), "similarity-classes")
-    first = classes.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("first"))
-    chosen = first.select(F.col("first.id").alias("__id"), F.col("first.h").alias("__first"))
+    lowest = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("lowest")
+    order = classes.join(classes.groupBy("root").agg(lowest), "root")
+    goes = ~(F.col("id").eqNullSafe(F.col("lowest.id")) & (F.col("h") == F.col("lowest.h")))
+    # Rows that go are fewer than those that stay, and narrow: the documents are not exchanged for a bounded number.
+    dropped, _ = write_table(
+        order.where(goes).select(F.col("id").alias("__id"), F.col("h").alias("__gone")).distinct(), "near-copies"
+    )
+    few = dropped.count() <= BROADCAST_ROWS
     marked = docs.withColumn("__h", F.unhex(F.md5(text_or_empty(text_col))))
-    stay = marked.join(chosen, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__first")), "left_semi")
+    same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__gone"))
+    stay = marked.join(F.broadcast(dropped) if few else dropped, same, "left_anti")
     if not classes.groupBy("id", "h").count().where("count > 1").isEmpty():
         again = Window.partitionBy(id_col, "__h").orderBy("__h")
         stay = stay.withColumn("__row", F.row_number().over(again)).where("__row = 1")
@@ -372,7 +398,9 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, recall: float) -> Data
     placed = member.join(sized, "root").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     body = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body")).withColumn("h", F.unhex(F.md5("body")))
-    whole = placed.join(body, "h").where(F.col("id").eqNullSafe(F.col("rep_id"))).select(
+    placed, _ = write_table(placed.select("root", "blocks", "key", "block", "h", "rep_id"), "placed-texts")
+    few = placed.count() <= BROADCAST_ROWS
+    whole = body.join(F.broadcast(placed) if few else placed, "h").where(F.col("id").eqNullSafe(F.col("rep_id"))).select(
         "root", "blocks", "key", "block", "body"
     )
     dealt = whole.select("*", other).select(
