@@ -26,6 +26,9 @@ TOKENS = 128
 SMALL = 512
 #: Longest path. What is still large then is one group of candidates.
 DEPTH = 12
+#: Children that a pair at the threshold shares on average in a bucket below a root. More need fewer runs, but
+#: texts with a share of common tokens over 0.8 / BRANCHING then multiply on the way down.
+BRANCHING = 1.5
 #: Part of a bucket's members that must resemble its pivot if the bucket is to be one group of candidates:
 #: splitting near copies gains nothing, while texts that only share a passage part on other tokens.
 ALIKE = 0.5
@@ -38,6 +41,8 @@ BLOCK_SHINGLES = 2_000_000
 COLUMNS = 8_192
 #: Most rows of hashes and ids that are broadcast; what is larger is joined by an exchange.
 BROADCAST_ROWS = 1_000_000
+#: Most pivots whose tokens are broadcast.
+BROADCAST_PIVOTS = 20_000
 #: Word hashes that a worker remembers.
 REMEMBERED = 500_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -93,17 +98,18 @@ def minima(codes: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def runs_needed(depth: int, recall: float = RECALL) -> int:
-    """Runs until a link at the threshold is found with probability ``recall``.
+def runs_needed(depth: int = DEPTH, recall: float = RECALL) -> int:
+    """Runs until a link at the threshold is found with probability ``recall``, for paths of any length up to ``depth``.
 
-    A node samples each token with chance ``1 / (similarity * TOKENS)``, so a pair at the threshold
-    shares one child on average, and none with probability ``1/e``. It shares a path of length d
-    unless all the branches die: ``q(0) = 0, q(d) = exp(q(d - 1) - 1)``.
+    A root samples each token with chance ``1 / (similarity * TOKENS)``, so a pair at the threshold
+    shares one child on average; a node below samples ``BRANCHING`` times as many. The pair shares a
+    path of length d below a root's child unless all branches die: ``q(0) = 0, q(d) = exp(B * (q(d - 1) - 1))``.
+    As the branches outgrow their deaths, the number of runs hardly depends on the length.
     """
     dead = 0.0
-    for _ in range(depth):
-        dead = math.exp(dead - 1)
-    return math.ceil(math.log(1 - recall) / math.log(dead))
+    for _ in range(depth - 1):
+        dead = math.exp(BRANCHING * (dead - 1))
+    return math.ceil(math.log(1 - recall) / (dead - 1))
 
 
 def sets_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -134,7 +140,7 @@ def sets_of(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Dat
 
 def _children(node, tokens, depth: int):
     """The buckets below a node: one for each token place that the node samples."""
-    chance = int((1 << 20) / (SIMILARITY * TOKENS))
+    chance = int((1 << 20) * (BRANCHING if depth else 1) / (SIMILARITY * TOKENS))
     places = F.filter(
         F.sequence(F.lit(0), F.lit(TOKENS - 1)),
         lambda i: F.pmod(F.xxhash64(node, i, F.lit(depth)), F.lit(1 << 20)) < chance,
@@ -213,16 +219,21 @@ def _near_pivot(large: DataFrame, tokens: DataFrame) -> tuple[DataFrame, str]:
 
     Every member's tokens are joined once; of pivots there is one to a large bucket.
     """
-    pivots = tokens.join(large.select(F.col("pivot").alias("key")).distinct(), "key").select(
-        F.col("key").alias("pivot"), F.col("tokens").alias("pivot_tokens")
+    pivots, pivots_path = write_table(
+        tokens.join(large.select(F.col("pivot").alias("key")).distinct(), "key").select(
+            F.col("key").alias("pivot"), F.col("tokens").alias("pivot_tokens")
+        ),
+        "pivots",
     )
+    few = pivots.count() <= BROADCAST_PIVOTS
     agree = F.size(F.filter(F.zip_with("tokens", "pivot_tokens", lambda s, t: s == t), lambda same: same))
     near, path = write_table(
-        large.join(tokens, "key").join(pivots, "pivot").select(
+        large.join(tokens, "key").join(F.broadcast(pivots) if few else pivots, "pivot").select(
             "node", "key", "pivot", "tokens", (agree >= _agreement()).alias("near")
         ),
         "large-buckets",
     )
+    drop_table(large.sparkSession, pivots_path)
     share = near.groupBy("node").agg((F.avg(F.col("near").cast("int")) >= ALIKE).alias("alike"))
     return near.join(share, "node").select("node", "key", "pivot", "tokens", "alike"), path
 
@@ -232,50 +243,47 @@ def candidates(texts: DataFrame, recall: float = RECALL) -> DataFrame:
 
     All runs walk down together: the rows of a level are (bucket, text). A bucket with one member
     ends, a small one is compared by sketches, and a larger one is split by the tokens that it
-    samples, unless most members resemble its pivot. Deep paths need more runs for the recall;
-    those take only the texts that had a bucket split, as all links of the others ended at the
-    first level. Each of these two groups may lose half of what the recall leaves.
+    samples, unless most members resemble its pivot. Below the first level only the texts of split
+    buckets are read.
     """
     spark = texts.sparkSession
     parts = task_count(spark)
     pool = texts.where("tokens is not null").select("key", "tokens")
-    found, paths, done, depth, first = [], [], 0, 1, True
+    found, paths = [], []
 
     def kept(df: DataFrame, label: str) -> DataFrame:
         table, path = write_table(df, label)
         paths.append(path)
         return table
 
-    while done < (need := runs_needed(depth, (1 + recall) / 2)):
-        roots = F.explode(F.transform(F.sequence(F.lit(done), F.lit(need - 1)), lambda r: F.xxhash64(r, F.lit(SEED))))
-        level = pool.select("key", "tokens", roots.alias("root"))
-        level = level.select("key", _children(F.col("root"), F.col("tokens"), 0))
-        done = need
-        for d in range(1, DEPTH + 1):
-            rows, rows_path = write_table(level, "buckets")
-            sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("pivot"))
-            members, members_path = write_table(rows.join(sizes.where("members > 1"), "node"), "shared-buckets")
-            drop_table(spark, rows_path)
-            small = members.where(F.col("members") <= SMALL).select("node", "key").join(
-                pool.select("key", _sketch(F.col("tokens")).alias("sketch")), "key"
-            )
-            small = small.select("node", "key", "sketch").repartition(parts, "node").sortWithinPartitions("node", "key")
-            found.append(kept(_compare_sketches(small).distinct(), "candidates"))
-            judged, judged_path = _near_pivot(members.where(F.col("members") > SMALL), pool)
-            whole = F.lit(True) if d == DEPTH else F.col("alike")
-            found.append(kept(judged.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")), "candidates"))
-            split = judged.where(~whole)
+    runs = F.sequence(F.lit(0), F.lit(runs_needed(DEPTH, recall) - 1))
+    roots = F.explode(F.transform(runs, lambda r: F.xxhash64(r, F.lit(SEED)))).alias("root")
+    level = pool.select("key", "tokens", roots).select("key", _children(F.col("root"), F.col("tokens"), 0))
+    for d in range(1, DEPTH + 1):
+        rows, rows_path = write_table(level, "buckets")
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("members"), F.min("key").alias("pivot"))
+        members, members_path = write_table(rows.join(sizes.where("members > 1"), "node"), "shared-buckets")
+        drop_table(spark, rows_path)
+        small = members.where(F.col("members") <= SMALL).select("node", "key").join(
+            pool.select("key", _sketch(F.col("tokens")).alias("sketch")), "key"
+        )
+        small = small.select("node", "key", "sketch").repartition(parts, "node").sortWithinPartitions("node", "key")
+        found.append(kept(_compare_sketches(small).distinct(), "candidates"))
+        large = members.where(F.col("members") > SMALL)
+        if large.isEmpty():
             drop_table(spark, members_path)
-            if split.isEmpty():
-                drop_table(spark, judged_path)
-                break
-            if first:  # whose buckets are split here; all later levels and runs read only these
-                first = False
-                pool = kept(split.select("key", "tokens").dropDuplicates(["key"]), "crowded-texts")
-            depth = max(depth, d + 1)
-            level = kept(split.select("key", _children(F.col("node"), F.col("tokens"), d)), "children")
-            drop_table(spark, judged_path)
-        first = False
+            break
+        judged, judged_path = _near_pivot(large, pool)
+        whole = F.lit(True) if d == DEPTH else F.col("alike")
+        found.append(kept(judged.where(whole).select(F.col("key").alias("a"), F.col("pivot").alias("b")), "candidates"))
+        split = judged.where(~whole)
+        drop_table(spark, members_path)
+        if d == 1:
+            pool = kept(split.select("key", "tokens").dropDuplicates(["key"]), "crowded-texts")
+        level = kept(split.select("key", _children(F.col("node"), F.col("tokens"), d)), "children")
+        drop_table(spark, judged_path)
+        if level.isEmpty():
+            break
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
