@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexmill.functions.arith import div
 from lexmill.operators.ordering import row_index
+from lexmill.session import drop_table, write_table
 
 BLOCK_STEPS = 65_536
+LONGEST_BLOCK = 65_536  # steps of a running average that one task takes
 START_BEST = 1e9
 SETTLE_STEPS = 5
 DECAY = 0.9
@@ -83,15 +85,50 @@ def best_so_far(log: DataFrame, block_steps: int = BLOCK_STEPS, start: float = S
     )
 
 
+def scanned_blocks(ends: DataFrame, factor: float) -> DataFrame:
+    """``run, _block, _sum`` with the sums of all blocks of the run up to this one, faded to its end.
+
+    A block turns what comes before it into ``factor * before + sum``; two such steps make one of the
+    same kind, so each round joins every block to the one as far behind as was combined so far,
+    and the number of rounds is the logarithm of the number of blocks. Blocks without rows only fade.
+    """
+    last = ends.groupBy("run").agg(F.max("_block").alias("_last"))
+    every = last.select("run", "_last", F.explode(F.sequence(F.lit(0), F.col("_last"))).alias("_block"))
+    now, path = write_table(
+        every.join(ends, ["run", "_block"], "left").select(
+            "run", "_block", F.coalesce("_sum", F.lit(0.0)).alias("_sum"), F.lit(factor).alias("_factor")
+        ),
+        "block-ends",
+    )
+    blocks = (now.agg(F.max("_block")).first()[0] or 0) + 1
+    behind = 1
+    while behind < blocks:
+        earlier = now.select(
+            "run", (F.col("_block") + behind).alias("_block"), F.col("_sum").alias("_s"), F.col("_factor").alias("_f")
+        )
+        after, new_path = write_table(
+            now.join(earlier, ["run", "_block"], "left").select(
+                "run", "_block",
+                (F.col("_sum") + F.col("_factor") * F.coalesce("_s", F.lit(0.0))).alias("_sum"),
+                (F.col("_factor") * F.coalesce("_f", F.lit(1.0))).alias("_factor"),
+            ),
+            "block-ends",
+        )
+        drop_table(now.sparkSession, path)
+        now, path, behind = after, new_path, 2 * behind
+    return now.drop("_factor")
+
+
 def running_average(
     log: DataFrame, value: str = "loss", decay: float = DECAY, skip: int = SETTLE_STEPS
 ) -> DataFrame:
     """Add ``ema``: the first kept value as it is, then ``decay * r + (1 - decay) * v``.
 
     The first ``skip`` steps are left out. Inside a block the recurrence is a running sum
-    of values weighted by ``decay ** -i``. Blocks are long enough that a value fades by
-    1e-100 per block, so three block ends carry everything a double can hold. A null value is
-    an error; with a decay of 1 the first value stays.
+    of values weighted by ``decay ** -i``; a block is short enough that this fits a double and that no
+    task holds more than ``LONGEST_BLOCK`` steps. What crosses a block is the pair (factor, sum) of the
+    blocks before it, combined by an associative scan, exact for any decay and number of blocks. A null
+    value is an error; with a decay of 1 the first value stays.
     """
     if not 0 < decay <= 1:
         raise ValueError("decay must be above 0 and at most 1")
@@ -100,9 +137,7 @@ def running_average(
     if decay == 1:  # the first kept value stays
         first = F.first(value).over(Window.partitionBy("run").orderBy("step"))
         return log.where(F.col("step") >= skip).withColumn("ema", first)
-    length = max(1, math.floor(100 * math.log(10) / -math.log(decay)))
-    fade = decay**length
-    carried = 3
+    length = min(LONGEST_BLOCK, max(1, math.floor(100 * math.log(10) / -math.log(decay))))
     place = F.col("step") - skip
     rows = (
         log.where(F.col("step") >= skip)
@@ -118,14 +153,8 @@ def running_average(
     grown: Column = F.sum(weight * F.col(value) * F.pow(F.lit(decay), -F.col("_i"))).over(w)
     local = rows.withColumn("_local", grown * F.pow(F.lit(decay), F.col("_i")))
     term = weight * F.col(value) * F.pow(F.lit(decay), F.lit(length - 1.0) - F.col("_i"))
-    ends = rows.groupBy("run", "_block").agg(F.sum(term).alias("_end"), F.count(F.lit(1)).alias("_n"))
-    shifts = F.sequence(F.lit(1), F.lit(carried))
-    carry = (
-        ends.where(F.col("_n") == length)
-        .select("run", "_block", "_end", F.explode(shifts).alias("_d"))
-        .groupBy("run", (F.col("_block") + F.col("_d")).alias("_block"))
-        .agg(F.sum(F.col("_end") * F.pow(F.lit(fade), F.col("_d") - 1)).alias("_carry"))
-    )
+    ends = rows.groupBy("run", "_block").agg(F.sum(term).alias("_sum"))
+    carry = scanned_blocks(ends, decay**length).select("run", (F.col("_block") + 1).alias("_block"), F.col("_sum").alias("_carry"))
     faded = F.coalesce("_carry", F.lit(0.0)) * F.pow(F.lit(decay), F.col("_i") + 1)
     return (
         local.join(carry, ["run", "_block"], "left")

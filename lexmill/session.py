@@ -86,6 +86,28 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
 
 
+def file_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Size and time of change of a file."""
+    p, fs = _hadoop_path(spark, path)
+    status = fs.getFileStatus(p)
+    return status.getLen(), status.getModificationTime()
+
+
+def publish_folder(spark: SparkSession, aside: str, path: str) -> None:
+    """Give a finished folder its name; if another writer was first, its folder stays and this one goes."""
+    p, fs = _hadoop_path(spark, aside)
+    target, _ = _hadoop_path(spark, path)
+    if fs.exists(target) or not fs.rename(p, target):
+        if not fs.exists(target):
+            raise OSError(f"{aside} cannot be renamed to {path}")
+        fs.delete(p, True)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Remove a table that ``write_table`` made and that nothing reads any more."""
     if path.startswith(shared_folder(spark)):

@@ -7,6 +7,7 @@ split is decided when the result is read, since it depends on the full shard lis
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,7 +18,7 @@ from lexmill import schemas
 from lexmill.functions.text import strip
 from lexmill.operators.ordering import running_offset
 from lexmill.operators.packing import chunks, examples
-from lexmill.session import drop_table, folder_names, path_exists, write_table
+from lexmill.session import drop_table, folder_names, path_exists, publish_folder, remove_folder, write_table
 
 
 def shard_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
@@ -165,8 +166,8 @@ def running_counts(
 ):
     """Documents and tokens per shard so far, kept in the state store.
 
-    Each batch writes its complete result to a folder of its own; ``latest_counts`` reads the
-    newest one that was finished, so a failed write leaves the one before.
+    Only shards that a batch changes leave the store: the batch writes their new rows to a folder of
+    its own, which it replaces when it runs again. ``latest_counts`` takes each shard's newest row.
     """
     tokens = tokenizer.encode(strip(F.col("content")), bos=True, eos=True)
     counts = (
@@ -180,7 +181,7 @@ def running_counts(
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
     return (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("update")
         .foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -188,10 +189,43 @@ def running_counts(
     )
 
 
+def _finished(spark: SparkSession, target: str) -> tuple[int, list[str]]:
+    """The last batch that is merged, or -1, and the folders that hold its and all later rows."""
+    numbers: dict[str, list[int]] = {"merged": [], "batch": []}
+    for name in folder_names(spark, target):
+        kind, _, number = name.partition("=")
+        if kind in numbers and path_exists(spark, f"{target}/{name}/_SUCCESS"):
+            numbers[kind].append(int(number))
+    merged = max(numbers["merged"], default=-1)
+    later = [f"batch={k}" for k in sorted(numbers["batch"]) if k > merged]
+    return merged, [f"merged={merged}"] * (merged >= 0) + later
+
+
 def latest_counts(spark: SparkSession, target: str) -> DataFrame:
-    """The newest complete result of ``running_counts``."""
-    done = [n for n in folder_names(spark, target) if path_exists(spark, f"{target}/{n}/_SUCCESS")]
-    if not done:
+    """``shard, n_docs, n_tokens``: the newest row of every shard from the finished batches of ``running_counts``."""
+    _, folders = _finished(spark, target)
+    if not folders:
         raise FileNotFoundError(f"no complete result in {target}")
-    newest = max(done, key=lambda name: int(name.removeprefix("batch=")))
-    return spark.read.parquet(f"{target}/{newest}")
+    rows = None
+    for age, name in enumerate(folders):
+        part = spark.read.parquet(f"{target}/{name}").select("shard", "n_docs", "n_tokens", F.lit(age).alias("age"))
+        rows = part if rows is None else rows.unionByName(part)
+    newest = F.max_by(F.struct("n_docs", "n_tokens"), "age").alias("newest")
+    return rows.groupBy("shard").agg(newest).select("shard", "newest.*")
+
+
+def merge_counts(spark: SparkSession, target: str) -> None:
+    """Merge what the finished batches hold into one row per shard, so that reading stays short.
+
+    The merged table gets its name by a rename, then the folders that it stands for go; stopped at any
+    point, ``latest_counts`` is the same. A merged batch that runs again is not read.
+    """
+    merged, folders = _finished(spark, target)
+    if not folders or folders[-1] == f"merged={merged}":
+        return
+    last = folders[-1].removeprefix("batch=")
+    aside = f"{target}/.merging-{uuid.uuid4().hex}"
+    latest_counts(spark, target).coalesce(1).write.parquet(aside)
+    publish_folder(spark, aside, f"{target}/merged={last}")
+    for name in folders:
+        remove_folder(spark, f"{target}/{name}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexmill.operators import bpe_train, corpus, shards
 from lexmill.operators.chars import CharTokenizer
 from lexmill.plans import flows
-from lexmill.session import drop_table, fresh_path, path_exists, write_table
+from lexmill.session import drop_table, folder_names, fresh_path, path_exists, publish_folder, write_table
 from lexmill.sources import corpus as corpus_io
 from lexmill.sources import jsonl, tokbin, vocabfile
 from lexmill.streaming import ingest
@@ -33,11 +33,33 @@ def test_corpus_cache_is_read_not_rebuilt(spark):
     first = corpus_io.load_articles(raw(spark), path, 0.5)
     assert first.columns == ["doc_id", "title", "content"]
     assert {r["doc_id"] for r in first.collect()} == set(range(30))
-    again = corpus_io.load_articles(raw(spark, 10), path, 1.0)
-    assert again.count() == 30
+    again = corpus_io.load_articles(raw(spark), path, 0.5)
+    assert sorted(again.inputFiles()) == sorted(first.inputFiles())
     assert corpus.records(again).columns == ["title", "content"]
 
 
+def test_another_fraction_or_source_makes_another_cache(spark):
+    path, source = fresh_path(spark, "cache"), fresh_path(spark, "source")
+    raw(spark, 20).write.parquet(source)
+    half = corpus_io.load_articles(spark.read.parquet(source), path, 0.5)
+    whole = corpus_io.load_articles(spark.read.parquet(source), path, 1.0)
+    assert (half.count(), whole.count()) == (10, 20)
+    files = half.inputFiles()
+    assert corpus_io.load_articles(spark.read.parquet(source), path, 0.5).inputFiles() == files
+    raw(spark, 30).where("id >= 20").write.mode("append").parquet(source)
+    assert corpus_io.load_articles(spark.read.parquet(source), path, 0.5).count() == 15
+    assert half.count() == 10
+    assert not [n for n in folder_names(spark, path) if n.startswith(".")]
+
+
+def test_a_cache_that_another_writer_finished_stays(spark):
+    aside, path = fresh_path(spark, "aside"), fresh_path(spark, "named")
+    raw(spark, 3).write.parquet(path)
+    raw(spark, 4).write.parquet(aside)
+    publish_folder(spark, aside, path)
+    assert spark.read.parquet(path).count() == 3 and not path_exists(spark, aside)
+
+
 def test_shard_files_keep_order_and_guard_the_target(spark):
     path = fresh_path(spark, "shards")
     flows.prepare_shuffle(raw(spark), path, 7)
@@ -195,3 +217,27 @@ def test_shards_below_two_windows_wait(spark):
     assert [(r["shard"], r["chunk"]) for r in rows] == [(0, 0)]
     stream = [0, *(tok.pieces[c] for c in "texte"), 1, 0, *(tok.pieces[c] for c in "xtextex"), 1]
     assert rows[0]["x"] == stream[:8] and rows[0]["y"] == stream[1:9]
+
+
+def test_a_batch_writes_only_the_shards_that_it_changes(spark):
+    path, out, cp = fresh_path(spark, "in"), fresh_path(spark, "counts"), fresh_path(spark, "cp")
+    tok = tokenizer(spark)
+    placed = shards.assign_shards(corpus.articles(raw(spark, 80)), 4)
+
+    def run(part):
+        jsonl.append_files(part, path, 4)
+        ingest.running_counts(spark, path, out, cp, tok, 100).awaitTermination()
+        return {r["shard"]: (r["n_docs"], r["n_tokens"]) for r in ingest.latest_counts(spark, out).collect()}
+
+    first = run(placed.where("doc_id % 2 = 0"))
+    second = run(placed.where("doc_id % 2 = 1 and shard = 2"))
+    assert {s for s in first if first[s] != second[s]} == {2} and set(second) == set(first)
+    written = [n for n in folder_names(spark, out) if n.startswith("batch=")]
+    assert spark.read.parquet(f"{out}/{max(written)}").count() == 1
+    ingest.merge_counts(spark, out)
+    assert folder_names(spark, out) == [max(written).replace("batch", "merged")]
+    third = run(placed.where("doc_id % 2 = 1 and shard <> 2"))
+    assert third[2] == second[2] and sum(n for n, _ in third.values()) == 80
+    ingest.merge_counts(spark, out)
+    ingest.merge_counts(spark, out)
+    assert {r["shard"]: (r["n_docs"], r["n_tokens"]) for r in ingest.latest_counts(spark, out).collect()} == third
