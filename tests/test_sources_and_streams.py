@@ -104,7 +104,7 @@ def test_token_files(spark):
     want = {}
     for r in tokens.orderBy("shard", "ord", "doc_id").collect():
         want.setdefault(r["shard"], []).extend(r["tokens"])
-    assert sorted(os.listdir(folder)) == [f"shard_{i}.bin" for i in range(5)]
+    assert sorted(os.listdir(folder)) == ["_manifest.json"] + [f"shard_{i}.bin" for i in range(5)]
     with open(f"{folder}/shard_3.bin", "rb") as f:
         data = f.read()
     assert list(struct.unpack(f"<{len(data) // 2}H", data)) == want[3]
@@ -116,12 +116,68 @@ def test_token_files(spark):
     with pytest.raises(FileExistsError):
         tokbin.write_token_files(tokens, folder, 5)
     tokbin.write_token_files(tokens.where("shard < 2"), folder, 5, overwrite=True)
-    assert sorted(os.listdir(folder)) == ["shard_0.bin", "shard_1.bin"]
+    assert sorted(os.listdir(folder)) == ["_manifest.json", "shard_0.bin", "shard_1.bin"]
     with pytest.raises(Exception, match="no token files"):
         os.makedirs(f"{folder}-empty")
         tokbin.read_token_files(spark, f"{folder}-empty").collect()
 
 
+def read_back(df):
+    got = {}
+    for r in df.orderBy("shard", "start").collect():
+        assert r["start"] == len(got.setdefault(r["shard"], []))
+        got[r["shard"]].extend(r["tokens"])
+    return got
+
+
+def test_several_writers_of_a_shard(spark):
+    """Parts of any length; blocks reach over their borders, and readers without a manifest know whole files only."""
+    folder = fresh_path(spark, "tok")
+    tokens = flows.stored_tokens(corpus.stripped(corpus.articles(raw(spark, 90))), tokenizer(spark), 4)
+    want = {}
+    for r in tokens.orderBy("shard", "ord", "doc_id").collect():
+        want.setdefault(r["shard"], []).extend(r["tokens"])
+    tokbin.write_token_files(tokens, folder, 4, writers=3)
+    names = [n for n in os.listdir(folder) if n.endswith(".bin")]
+    assert sum(".part_" in n for n in names) >= 8 and not any(n.startswith("_attempt") for n in os.listdir(folder))
+    for block in (7, 64, 4096):
+        assert read_back(tokbin.read_token_files(spark, folder, block)) == want
+    lengths = {r["shard"]: r["stream_len"] for r in tokbin.shard_lengths(spark, folder).collect()}
+    assert lengths == {s: len(t) for s, t in want.items()}
+    whole = fresh_path(spark, "tok")
+    tokbin.write_token_files(tokens, whole, 4, writers=1)
+    os.remove(f"{whole}/_manifest.json")
+    assert read_back(tokbin.read_token_files(spark, whole, 64)) == want
+
+
+def test_empty_shards_are_in_the_manifest(spark):
+    folder = fresh_path(spark, "tok")
+    tokens = flows.stored_tokens(corpus.stripped(corpus.articles(raw(spark, 3))), tokenizer(spark), 5)
+    tokbin.write_token_files(tokens, folder, 5)
+    rows = tokbin.shard_lengths(spark, folder).orderBy("shard").collect()
+    assert [r["shard"] for r in rows] == list(range(5)) and [r["stream_len"] > 0 for r in rows] == [True] * 3 + [False] * 2
+    tokbin.write_token_files(tokens.limit(0), folder, 5, overwrite=True)
+    assert tokbin.read_token_files(spark, folder).count() == 0
+    assert tokbin.shard_lengths(spark, folder).where("stream_len = 0").count() == 5
+
+
+def test_filters_reach_the_token_files(spark, monkeypatch):
+    folder = fresh_path(spark, "tok")
+    tokens = flows.stored_tokens(corpus.stripped(corpus.articles(raw(spark, 90))), tokenizer(spark), 6)
+    tokbin.write_token_files(tokens, folder, 6)
+    everything = read_back(tokbin.read_token_files(spark, folder, 16))
+    for condition, planned in (
+        ("shard = 2", 1), ("shard IN (1, 4)", 2), ("shard >= 3 AND shard < 5", 3), ("shard = 2 AND shard = 3", 1),
+        ("shard = 1 AND start >= 64", 1), ("start < 0", 1), ("shard <> 2", 6), ("shard % 2 = 0", 6),
+    ):
+        blocks = tokbin.read_token_files(spark, folder, 16).where(condition)
+        assert blocks.rdd.getNumPartitions() <= planned, condition
+        got = {(r["shard"], r["start"]): r["tokens"] for r in blocks.collect()}
+        rows = [(s, at, t[at : at + 16]) for s, t in everything.items() for at in range(0, len(t), 16)]
+        test = eval("lambda shard, start: " + condition.replace(" = ", " == ").replace("<>", "!=").replace("AND", "and").replace("IN", "in"))
+        assert got == {(s, at): t for s, at, t in rows if test(s, at)}
+
+
 def test_vocabulary_file(spark):
     rows = bpe_train.vocab_rows(["▁a", 'b"', "c'd"], ['"', "#", "\\", " ", "▁"])
     from lexmill import schemas
