@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,9 +17,9 @@ from lexmill.llm.common import columns, map_rows, text_or_empty
 
 #: Fixed value: the id that ends a document.
 END_ID = 1
-#: Words that a worker remembers; beyond, they are encoded each time.
-REMEMBERED = 600_000
-#: Words that are encoded in one call.
+#: Words, and parts of words, of a generation; a worker remembers two.
+GENERATION = 500_000
+#: Words or parts that are encoded in one call.
 TOGETHER = 2_000
 #: Examples that compete for a sequence.
 CANDIDATES = 1_024
@@ -32,45 +33,98 @@ WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+# Words of ASCII and Latin letters that the tokenizer's normal form only lower-cases, and, in lower case, the parts that
+# it encodes apart. U+0130 is left out: its lower case is two characters.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|\n|[^a-z\u00df-\u017f0-9\n]+")
+#: Stands between words in joined ids; no id has a high byte of 255, so it is found at borders only.
+BORDER = b"\xff\xff"
+
+
+class Remembered:
+    """Values of words in a bounded memory of two generations: what a whole generation did not ask for is forgotten."""
+
+    def __init__(self, bound: int, encode: Callable[[list[str]], list[bytes]]):
+        self.bound, self.encode = bound, encode
+        self.now: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def runs(self, words: list[str]) -> list[bytes]:
+        """The joined values of each run of words; line ends stand between runs."""
+        if len(self.now) > self.bound:
+            self.now, self.old = {}, self.now
+        now, old = self.now, self.old
+        now["\n"] = BORDER
+        found = list(map(now.get, words))
+        holes = [k for k, v in enumerate(found) if v is None]
+        if holes:
+            asked = dict.fromkeys([words[k] for k in holes])
+            now.update({w: old[w] for w in asked if w in old})
+            new = [w for w in asked if w not in now]
+            now.update(zip(new, self.encode(new)))
+            for k in holes:
+                found[k] = now[words[k]]
+        return b"".join(found).split(BORDER)
+
+
 class WordCoder:
-    """Encodes texts white-space run by run, remembering runs up to a bound.
+    """Encodes texts white-space run by run, remembering runs and their parts up to a bound.
 
     The tokenizer drops white space before its merges and no rule of it reaches over white
-    space, so a text's ids are the ids of its runs.
+    space, so a text's ids are the ids of its runs. Runs of plain letters, digits and signs are cut to
+    the tokenizer's own parts here, as parts recur more often than runs; other runs, and those
+    with a special token, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids over 65,535 are not supported")
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> dict[str, bytes]:
-        out = {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        if self.tokenizer.get_vocab_size() > 0xFF00:
+            raise ValueError("ids over 65,279 are not supported")
+        self.merges.normalizer = None
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special)) if special else None
+        self.words = Remembered(GENERATION, self._encode)
+        self.parts = Remembered(GENERATION, lambda parts: self._joined(parts, False))
+
+    def _joined(self, words: list[str], whole: bool) -> list[bytes]:
+        """Ids of each word; ``whole`` words may be cut to parts, others are one part each."""
+        out: list[bytes] = []
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
-            ids = np.array(found.ids, "<u2")
-            offsets = np.array([o[0] for o in found.offsets], np.int64)
-            counts = np.bincount(np.searchsorted(starts, offsets, "right") - 1, minlength=len(part))
-            out.update(zip(part, (x.tobytes() for x in np.split(ids, np.cumsum(counts)[:-1]))))
+            found = (self.tokenizer if whole else self.merges).encode(" ".join(part), add_special_tokens=False)
+            if whole:
+                starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
+                place = np.searchsorted(starts, np.array([o[0] for o in found.offsets], np.int64), "right") - 1
+            else:
+                place = np.array(found.word_ids, np.int64)
+            data = np.array(found.ids, "<u2").tobytes()
+            ends = (2 * np.cumsum(np.bincount(place, minlength=len(part)))).tolist()
+            out += [data[a:b] for a, b in zip([0, *ends], ends)]
         return out
 
+    def _encode(self, words: list[str]) -> list[bytes]:
+        plain = [PLAIN.fullmatch(w) is not None for w in words]
+        if self.special and self.special.search(" ".join(words)):
+            plain = [p and not self.special.search(w) for p, w in zip(plain, words)]
+        # Plain words keep their number of characters in lower case, and have no line ends.
+        low = "\n".join([w for w, p in zip(words, plain) if p]).lower()
+        fast = self.parts.runs(PARTS.findall(low))
+        if all(plain):
+            return fast
+        slow = self._joined([w for w, p in zip(words, plain) if not p], True)
+        take, others = iter(fast), iter(slow)
+        return [next(take if p else others) for p in plain]
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        pieces = [WHITE.split(t) if SEPARATORS.search(t) else t.split() for t in texts]
-        pieces = [[w for w in p if w] if p and not (p[0] and p[-1]) else p for p in pieces]
-        known = lookup = self.known
-        missing = set().union(*pieces).difference(known)
-        if missing:
-            new = self._encode(list(missing))
-            if len(known) + len(new) <= REMEMBERED:
-                known.update(new)
-            else:
-                lookup = {w: known[w] for w in set().union(*pieces) if w in known} | new
-        return [np.frombuffer(b"".join(map(lookup.__getitem__, p)), "<u2") for p in pieces]
+        words: list[str] = []
+        for text in texts:
+            words += [w for w in WHITE.split(text) if w] if SEPARATORS.search(text) else text.split()
+            words.append("\n")
+        return [np.frombuffer(run, "<u2") for run in self.words.runs(words)[:-1]]
 
 
 _coders: dict[str, WordCoder] = {}
@@ -134,33 +188,36 @@ class VectorPacker:
     def drain(self, leave: int = 0) -> list[list[Example]]:
         """Sequences made of the window, until at most ``leave`` candidates are left."""
         items = list(self.window)
-        demand = np.array([e.demand for e in items], np.int64).reshape(-1, 3)
+        size, _, loss = (np.array(d, np.int64) for d in zip(*(e.demand for e in items))) if items else ((),) * 3
         here = np.ones(len(items), bool)
         left = len(items)
+        tokens, segments, bearing = limit = self.limit.tolist()
+        gone = max(limit) + 1  # the demand of a placed candidate, which never fits
         out = []
         while left > leave:
-            room = self.limit.copy()
-            weight = demand[here].sum(axis=0) / self.limit.astype(float) ** 2
+            room, number, bears = limit
+            w_tokens, w_loss = (float(d[here].sum()) / most**3 for d, most in ((size, tokens), (loss, bearing)))
+            w_number = left / segments**3
             sequence: list[Example] = []
             while left:
-                fits = here & (demand <= room).all(axis=1)
+                fits = (size <= room) & (loss <= bears) if number else np.zeros(0, bool)
                 if fits.any():
-                    score = np.where(fits, demand @ (weight * room / self.limit), -1.0)
-                    k = int(score.argmax())
+                    score = size * (w_tokens * room) + loss * (w_loss * bears) + w_number * number
+                    k = int(np.where(fits, score, -1.0).argmax())
                     sequence.append(items[k])
-                    room -= demand[k]
-                    here[k] = False
+                    room, number, bears = room - int(size[k]), number - 1, bears - int(loss[k])
+                    here[k], size[k] = False, gone
                     left -= 1
                     continue
-                k = int(np.where(here, demand[:, 0], -1).argmax())
+                k = int(np.where(here, size, -1).argmax())
                 e = items[k]
                 # Tokens that fit before the room for tokens or for loss ends.
-                size = min(int(room[0]), max(0, e.prompt - e.start) + int(room[2]))
-                if not self.cut or room[1] < 1 or size < MIN_PIECE or e.stop - e.start - size < MIN_PIECE:
+                part = min(room, max(0, e.prompt - e.start) + bears)
+                if not self.cut or number < 1 or part < MIN_PIECE or e.stop - e.start - part < MIN_PIECE:
                     break
-                sequence.append(Example(e.key, e.start, e.start + size, e.prompt))
-                items[k] = Example(e.key, e.start + size, e.stop, e.prompt)
-                demand[k] = items[k].demand
+                sequence.append(Example(e.key, e.start, e.start + part, e.prompt))
+                items[k] = Example(e.key, e.start + part, e.stop, e.prompt)
+                size[k], _, loss[k] = items[k].demand
                 break
             out.append(sequence)
         self.window = [e for e, stays in zip(items, here) if stays]

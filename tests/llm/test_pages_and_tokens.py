@@ -293,3 +293,37 @@ def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_heuristic_places_the_largest_product(seed):
+    rng = random.Random(seed)
+    limit = (40, rng.choice([3, 100]), rng.choice([15, 40]))
+    items = [packing.Example(k, 0, n, rng.randint(0, n)) for k in range(60) for n in (rng.randint(1, 14),)]
+    packer = packing.VectorPacker(*limit, cut=False)
+    for e in items:
+        assert packer.add(e) == []
+    left, want = list(items), []
+    while left:
+        room, sequence = list(limit), []
+        weight = [sum(e.demand[d] for e in left) / limit[d] ** 2 for d in range(3)]
+        while fits := [e for e in left if all(n <= r for n, r in zip(e.demand, room))]:
+            score = lambda e: round(sum(n * w * r / m for n, w, r, m in zip(e.demand, weight, room, limit)), 9)
+            best = max(fits, key=lambda e: (score(e), -e.key))
+            sequence.append(best.key)
+            room = [r - n for r, n in zip(room, best.demand)]
+            left.remove(best)
+        want.append(sequence)
+    assert [[e.key for e in s] for s in packer.drain()] == want
+
+
+def test_word_memory_forgets_and_stays_exact(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "GENERATION", 5)
+    coder, rng = packing.WordCoder(path), random.Random(3)
+    signs = ["a", "Word", "ÉTÉ", "ſ", "İ", "ŉ", "ß", "÷", "×", "'s", "'RE", "9", "x²", "µ", "日", "é", "\x00", "\x7f", "<|endoftext|>", "(", "--", "Ÿ", "ǅ"]
+    for _ in range(40):
+        texts = ["".join(rng.choice([*signs, " ", "\n", "　", "\x1c"]) for _ in range(rng.randint(0, 60))) for _ in range(8)]
+        assert [a.tolist() for a in coder.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(coder.words.old) <= 8 * 60
