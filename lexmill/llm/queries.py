@@ -8,7 +8,7 @@ from lexmill.llm import (
     byte_bpe, exact_dedup, extraction, infill, jaccard_join, packing, private_data, quality, sharding, spelling, stream_bpe,
     suffix_dedup, warc,
 )
-from lexmill.session import fresh_path, write_table
+from lexmill.session import drop_table, fresh_path, write_table
 
 POLICY = "v1"
 SHARDS = 24
@@ -87,6 +87,7 @@ def op9_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         warc.field("referstopageid").cast("long").alias("refers_to"),
     )
     stored, _ = write_table(seen, "archive-records")
+    drop_table(spark, path)
     captures = warc.assemble(stored)
     about = F.get("metadata", F.lit(0))
     return captures.select(

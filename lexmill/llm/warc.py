@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -17,6 +17,7 @@ VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PRIMARY = ("response", "revisit", "resource")
 EOL = "\r\n"
+EOL_BYTES, SEPARATOR = b"\r\n", b"\r\n\r\n"
 HEX32, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORDS = columns(
@@ -82,12 +83,12 @@ def with_revisits(
     )
 
 
-def write_archive(captures: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", codec: str = "none") -> None:
+def write_archive(captures: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", codec: str = "gzip") -> None:
     """Write captures of ``with_revisits`` as request, response or revisit, and metadata records.
 
     The writer is Spark's text writer with two line ends as separator, so attempts, commits and
-    file systems are Spark's. A file holds one task's captures. ``codec="gzip"`` compresses each
-    file as a whole. Line ends in a url are percent-encoded; a page without url has no target.
+    file systems are Spark's. A file holds one task's captures, compressed as a whole;
+    ``codec="none"`` leaves it plain. Line ends in a url are percent-encoded; a page without url has no target.
     """
     text = lambda c: F.col(c).cast("string")
     url = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
@@ -143,68 +144,101 @@ def _fields(lines: list[bytes]) -> dict[str, str]:
     return out
 
 
+def _record_at(data: bytes, at: int) -> tuple[tuple, int] | int:
+    """The record that starts at a byte and where it ends; if it is not all there, how many bytes it takes."""
+    end = data.find(EOL_BYTES * 2, at)
+    if not data.startswith(b"WARC/", at):
+        raise ValueError(f"no archive record at byte {at}")
+    if end < 0:
+        return len(data) + 1
+    head = _fields(data[at:end].split(EOL_BYTES)[1:])
+    start = end + 4
+    stop = start + int(head["content-length"])
+    if stop > len(data):
+        return stop
+    block, fields, length = data[start:stop], {}, None
+    if head.get("content-type", "").startswith("application/http"):
+        http, _, payload = block.partition(EOL_BYTES * 2)
+        fields = _fields(http.split(EOL_BYTES)[1:])
+        length = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else None
+    elif head.get("content-type", "") == "application/warc-fields":
+        fields, payload = _fields(block.split(EOL_BYTES)), b""
+    else:
+        payload = block
+    digest = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
+    return (
+        head.get("warc-type"), head.get("warc-record-id"), head.get("warc-concurrent-to"),
+        head.get("warc-refers-to"), head.get("warc-target-uri"), head.get("warc-date"), digest,
+        length, [{"name": k, "value": v} for k, v in fields.items()], payload,
+    ), stop
+
+
+def parse_parts(parts: Iterable[bytes]) -> Iterator[tuple]:
+    """The records of archives that come in parts, as rows of ``RECORDS``; holds a part and a record."""
+    held: list[bytes] = []
+    size, need = 0, 1
+    for part in parts:
+        held.append(part)
+        size += len(part)
+        if size < need:
+            continue
+        data, at = b"".join(held), 0
+        while True:
+            while data.startswith(EOL_BYTES, at):
+                at += 2
+            found = _record_at(data, at) if at < len(data) else at + 1
+            if isinstance(found, int):
+                break
+            yield found[0]
+            at = found[1]
+        held, size, need = [data[at:]], len(data) - at, found - at
+    if b"".join(held).strip():
+        raise ValueError("the last record is cut off")
+
+
 def parse_records(data: bytes) -> Iterator[tuple]:
-    """The records of one archive, as rows of ``RECORDS``; plain or gzip, whole or by record."""
+    """The records of one archive; plain or gzip, whole or by record."""
     if data[:2] == b"\x1f\x8b":
         import gzip
 
         data = gzip.decompress(data)
-    at, eol = 0, b"\r\n"
-    while at < len(data):
-        end = data.find(eol * 2, at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            if data[at:].strip():
-                raise ValueError(f"no archive record at byte {at}")
-            return
-        head = _fields(data[at:end].split(eol)[1:])
-        start = end + 4
-        stop = start + int(head["content-length"])
-        if stop > len(data):
-            raise ValueError(f"the record at byte {at} is cut off")
-        block, fields, length = data[start:stop], {}, None
-        if head.get("content-type", "").startswith("application/http"):
-            http, _, payload = block.partition(eol * 2)
-            fields = _fields(http.split(eol)[1:])
-            length = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else None
-        elif head.get("content-type", "") == "application/warc-fields":
-            fields, payload = _fields(block.split(eol)), b""
-        else:
-            payload = block
-        digest = head.get("warc-payload-digest", "").removeprefix("sha1:") or None
-        yield (
-            head.get("warc-type"), head.get("warc-record-id"), head.get("warc-concurrent-to"),
-            head.get("warc-refers-to"), head.get("warc-target-uri"), head.get("warc-date"), digest,
-            length, [{"name": k, "value": v} for k, v in fields.items()], payload,
-        )
-        at = stop
-        while data.startswith(eol, at):
-            at += 2
+    return parse_parts([data])
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """The records of all archives in a folder, one row each.
 
-    A file is read by one task as a whole (2 GB at most); the writer's files hold one exchange
-    partition. A damaged record fails the read. An empty folder gives no rows.
+    A file is read by one task. Compressed files (``.gz``) are streamed by Spark's text source, which
+    never splits them, as pieces between two line ends, so they may have any size; a task holds a
+    batch of pieces and a record. Other files are read whole and have 2 GB at most. A damaged record
+    fails the read. An empty folder gives no rows.
     """
     names = [f.name for f in RECORDS]
     target = to_arrow_schema(RECORDS)
 
-    def run(batches):
+    def rows_of(records):
         rows, held = [], 0
+        for record in records:
+            rows.append(dict(zip(names, record)))
+            held += len(record[-1]) + 500
+            if held > BATCH_BYTES:
+                yield pa.RecordBatch.from_pylist(rows, schema=target)
+                rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema=target)
+
+    def streamed(batches):
+        yield from rows_of(parse_parts(SEPARATOR.join([*b.column(0).to_pylist(), b""]) for b in batches))
+
+    def whole(batches):
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                for record in parse_records(data):
-                    rows.append(record)
-                    held += len(record[-1]) + 500
-                    if held > BATCH_BYTES:
-                        yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=target)
-                        rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=target)
+                yield from rows_of(parse_records(data))
 
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("content").mapInArrow(run, RECORDS)
+    text = spark.read.option("lineSep", EOL * 2).option("pathGlobFilter", "*.gz").text(path)
+    plain = spark.read.format("binaryFile").load(path).where(~F.col("path").endswith(".gz"))
+    return text.select(F.col("value").cast("binary").alias("value")).mapInArrow(streamed, RECORDS).unionByName(
+        plain.select("content").mapInArrow(whole, RECORDS))
 
 
 def assemble(records: DataFrame) -> DataFrame:

@@ -327,3 +327,16 @@ def test_word_memory_forgets_and_stays_exact(monkeypatch):
         texts = ["".join(rng.choice([*signs, " ", "\n", "　", "\x1c"]) for _ in range(rng.randint(0, 60))) for _ in range(8)]
         assert [a.tolist() for a in coder.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
         assert len(coder.words.old) <= 8 * 60
+
+
+@pytest.mark.parametrize("together", [1, 2, 7, 1000])
+def test_archives_in_parts(together):
+    """Pieces as the text source cuts them, several to a batch."""
+    block = b"a\r\n\r\nWARC/1.1\r\n" * 60
+    head = lambda n: f"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: {n}\r\n\r\n".encode()
+    data = b"".join(head(n) + block[:n] + b"\r\n\r\n" for n in (0, 3, 5, 800, 2))
+    pieces = [p + b"\r\n\r\n" for p in data.split(b"\r\n\r\n")]
+    parts = [b"".join(pieces[i : i + together]) for i in range(0, len(pieces), together)]
+    assert [len(r[-1]) for r in warc.parse_parts(parts)] == [0, 3, 5, 800, 2]
+    with pytest.raises(ValueError):
+        list(warc.parse_parts([data[:-8]]))
