@@ -23,6 +23,12 @@ INLINE = {
     "var", "img", "wbr", "br", "center",
 }
 CONTAINERS = {"body", "div", "article", "main", "section", "td", "center", "html"}
+#: Elements that neither begin nor end a block, though their own text is left out.
+WITHIN = INLINE | (RAW - {"title"}) | {"button", "select", "svg", "object"}
+#: Dropped elements, besides those dropped by their names, that may turn out to hold the article.
+DOUBTFUL = {"form"}
+#: Characters outside links from which a page's text may come from an element that was dropped for its name.
+ENOUGH_TEXT = 250
 #: An open element that a start tag ends, up to the nearest of the listed walls.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -122,17 +128,24 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _unwanted(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is left out for its tag, its state or its role."""
     if tag in DROPPED:
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
-        parts = set(WORD.findall(attributes.get("class", "").lower())) if attributes and tag == "article" else set()
-        return bool(parts & {"comment", "comments", "ad", "advert", "related", "promo"})
+        return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
         return True
-    if attributes.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
-        return True
+    return attributes.get("role", "").lower() in (
+        "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert")
+
+
+def _ill_named(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether the class or id of an element names something other than the article."""
+    if not attributes or tag in ("html", "body", "article", "main"):
+        parts = set(WORD.findall(attributes.get("class", "").lower())) if attributes and tag == "article" else set()
+        return bool(parts & {"comment", "comments", "ad", "advert", "related", "promo"})
     parts = set(WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
     return bool(parts & ALWAYS) or bool(parts & UNLESS_CONTENT and not parts & (CONTENT | {"with", "has"}))
 
@@ -144,24 +157,61 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 
 
 class Page:
-    """Blocks of a page in order, each with its containers; containers with path and factor."""
+    """Blocks of a page in order, each with its containers; containers with path and factor.
+
+    Names may mislead: where a page has no text outside links left, the dropped form or ill-named
+    element with the most text is read after all, if it holds an article, a main part, a first heading or
+    ``ENOUGH_TEXT`` characters, and inside it the same until there is text.
+    """
 
     def __init__(self, html: str):
+        self._read(html, set())
+        if self._doubts and not any(len(text) > linked for text, linked, _ in self.blocks):
+            if forgiven := self._forgiven():
+                self._read(html, forgiven)
+
+    def _forgiven(self) -> set[int]:
+        """The dropped elements to read: the best outermost one, and the best inside it until one has text of its own."""
+        whole = {k: (marked, own) for k, (_, own, marked) in self._doubts.items()}
+        inner: dict[int, list[int]] = {}
+        for k in sorted(self._doubts, reverse=True):  # inner ones have higher numbers
+            inner.setdefault(parent := self._doubts[k][0], []).append(k)
+            if parent >= 0:
+                whole[parent] = whole[parent][0] or whole[k][0], whole[parent][1] + whole[k][1]
+        chosen, at = set(), -1
+        while at < 0 or not self._doubts[at][1]:
+            at = max(inner.get(at, ()), key=lambda k: (whole[k][0] and whole[k][1] > 0, whole[k][1], -k), default=-1)
+            if at < 0:
+                break
+            if not chosen and whole[at][1] < ENOUGH_TEXT and not (whole[at][0] and whole[at][1]):
+                return set()
+            chosen.add(at)
+        return chosen
+
+    def _read(self, html: str, forgiven: set[int]) -> None:
         self.blocks: list[tuple[str, int, tuple[int, ...]]] = []  # text, characters in links, containers
         self.containers: list[tuple[str, float]] = []
         self._text: list[str] = []
         self._linked = 0
-        # An open element: name, container or -1, unwanted so far.
-        stack: list[tuple[str, int, bool]] = []
+        # Elements dropped for their names: the one around, own characters outside links, own mark of an article.
+        self._doubts: dict[int, tuple[int, int, bool]] = {}
+        number, doubts, hard, within = -1, [], 0, 0
+        # An open element: name, container or -1, unwanted, and whether only for its name.
+        stack: list[tuple[str, int, bool, bool]] = []
         inside: list[int] = []
         path: list[str] = []
         unwanted = links = 0
         open_block = False
 
         def pop():
-            nonlocal unwanted, links
-            tag, container, bad = stack.pop()
-            if tag not in INLINE:
+            nonlocal unwanted, links, hard, within
+            tag, container, bad, doubt = stack.pop()
+            if doubt:
+                doubts.pop()
+            hard -= bad and not doubt
+            if tag in WITHIN:
+                within -= bad
+            elif not within:
                 self._end(tuple(inside))
             unwanted -= bad
             links -= tag == "a"
@@ -175,6 +225,9 @@ class Page:
                     self._text.append(token[1])
                     if links:
                         self._linked += len(token[1])
+                elif doubts and not hard and not links:
+                    around, own, marked = self._doubts[doubts[-1]]
+                    self._doubts[doubts[-1]] = around, own + len(token[1].strip()), marked
             elif token[0] == "open":
                 tag = token[1]
                 if tag in VOID:
@@ -183,7 +236,7 @@ class Page:
                     elif not unwanted:
                         self._text.append(" " if tag == "br" else "")
                     continue
-                if tag not in INLINE:
+                if tag not in WITHIN and not within:
                     self._end(tuple(inside))
                     targets, walls = CLOSES.get(tag, ({"p"}, CONTAINERS | {"table", "button"}))
                     for back in range(len(stack) - 1, -1, -1):
@@ -194,7 +247,17 @@ class Page:
                                 pop()
                             break
                 attributes = _attributes(token[2])
-                bad, container = _unwanted(tag, attributes), -1
+                bad, container, doubt = _unwanted(tag, attributes), -1, False
+                number += 1
+                if tag in DOUBTFUL if bad else _ill_named(tag, attributes):
+                    bad = doubt = number not in forgiven
+                if doubt:
+                    self._doubts[number] = doubts[-1] if doubts else -1, 0, False
+                    doubts.append(number)
+                elif bad:
+                    hard += 1
+                if doubts and not hard and tag in ("article", "main", "h1"):
+                    self._doubts[doubts[-1]] = *self._doubts[doubts[-1]][:2], True
                 if tag in CONTAINERS:
                     container = len(self.containers)
                     path.append(_step(tag, attributes))
@@ -202,8 +265,9 @@ class Page:
                     good = tag == "div" and parts & CONTENT or attributes.get("itemprop") == "articleBody" or attributes.get("role") == "main"
                     self.containers.append((">".join(path), CONTENT_FACTOR if good else FACTOR[tag]))
                     inside.append(container)
-                stack.append((tag, container, bad))
+                stack.append((tag, container, bad, doubt))
                 unwanted += bad
+                within += bad and tag in WITHIN
                 links += tag == "a"
             else:
                 tag = token[1]

@@ -340,3 +340,23 @@ def test_archives_in_parts(together):
     assert [len(r[-1]) for r in warc.parse_parts(parts)] == [0, 3, 5, 800, 2]
     with pytest.raises(ValueError):
         list(warc.parse_parts([data[:-8]]))
+
+
+LINE = ("word " * 30).strip()
+
+
+@pytest.mark.parametrize("html,want", [
+    (f"<div class='post category-social'><h1>T</h1><p>{LINE}</div>", ["T", LINE]),
+    (f"<div class='tags-page'><main><p>{LINE}</main></div>", [LINE]),
+    (f"<div class='two-sidebar-menu'><article><p>{LINE}</article><div class=menu>x y</div></div>", [LINE]),
+    (f"<div id='comments-enabled-page'><article><p>{LINE}</article><div class=comments><p>{LINE * 9}</div></div>", [LINE]),
+    (f"<form id=aspnetForm><nav>n</nav><div id=content><h1>A</h1><p>{LINE}</div></form>", ["A", LINE]),
+    ("<div class=ad>" * 3000 + f"<h1>{LINE}</h1>", [LINE]),
+    ("<div class=cookie>we use cookies</div>", []),
+    (f"<p>{LINE}</p><div class=comments><h1>No</h1>{LINE * 9}</div>", [LINE]),
+    (f"<div hidden class=ad><h1>{LINE * 9}</h1></div><div class=promo><nav>{LINE * 9}</nav></div>", []),
+    ("<p>next <script>var a</script> end</p>", ["next end"]),
+    ("<p>a <select><option>x<option>y</select> b <button><p>q</p></button> c<svg><path></svg>d</p>e", ["a b cd", "e"]),
+])
+def test_names_do_not_cost_the_article(html, want):
+    assert [text for text, *_ in extraction.Page(html).blocks] == want
