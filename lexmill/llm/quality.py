@@ -169,6 +169,17 @@ def keep_documents(docs: DataFrame, version: str, text_col: str = "text", rules:
     return apply_policy(judged, version, rules).where("kept").select("__row.*")
 
 
+def patterns(ledger: DataFrame, version: str, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """``bits, n, back_without``: rows by the rules of a policy that they fail, and the rule that alone rejects them, else 0.
+
+    There are at most two to the number of rules patterns. No rows give no rows.
+    """
+    bits = F.col("failure_bits").bitwiseAND(F.lit(mask_of(POLICIES[version], rules)))
+    counted = ledger.groupBy(bits.alias("bits")).agg(F.count(F.lit(1)).alias("n"))
+    single = F.bit_count("bits") == 1
+    return counted.withColumn("back_without", F.when(single, F.col("bits")).otherwise(F.lit(0)).cast("bigint"))
+
+
 def ablations(ledger: DataFrame, version: str, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per rule of a policy: ``rule, failed, only_here, kept_without, always_with``.
 
@@ -178,9 +189,7 @@ def ablations(ledger: DataFrame, version: str, rules: Sequence[Rule] = RULES) ->
     first counted by their bits, of which there are at most two to the number of rules.
     """
     mask = mask_of(POLICIES[version], rules)
-    by_bits = ledger.groupBy(F.col("failure_bits").bitwiseAND(F.lit(mask)).alias("bits")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    by_bits = patterns(ledger, version, rules)
     used = [(r.name, 1 << k) for k, r in enumerate(rules) if mask >> k & 1]
     per_rule = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.lit(b).cast("bigint").alias("bit")) for n, b in used]))
     rows = by_bits.select("bits", "n", per_rule.alias("r")).select("bits", "n", "r.rule", "r.bit")

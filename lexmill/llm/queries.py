@@ -25,12 +25,16 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of all documents under the production policy, with each row's ablation.
 
-    ``back_without`` is the one rule (as a bit) whose removal would keep the row, else 0.
+    ``back_without`` is the one rule (as a bit) whose removal would keep the row, else 0, and ``n_alike``
+    how many rows fail just the same rules of the policy; both come from the counted bit patterns.
     """
     ledger, _ = write_table(quality.rule_ledger(documents(spark, sf_dir)), "rule-ledger")
     judged = quality.apply_policy(ledger, POLICY)
-    single = F.bit_count("rejected_by") == 1
-    return judged.withColumn("back_without", F.when(single, F.col("rejected_by")).otherwise(F.lit(0)))
+    # At most two to the number of rules.
+    found = F.broadcast(quality.patterns(ledger, POLICY).withColumnRenamed("bits", "rejected_by"))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    rest = [c for c in judged.columns if c not in first]
+    return judged.join(found, "rejected_by").select(*first, *rest, "back_without", F.col("n").alias("n_alike"))
 
 
 def op2_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
