@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import html as html_lib
 import re
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
 
 from lexmill.llm.common import columns, map_rows
 from lexmill.session import write_table
@@ -51,6 +52,12 @@ FACTOR = {"article": 1.6, "main": 1.5, "section": 1.1, "div": 1.1, "center": 1.0
 CONTENT_FACTOR = 1.5
 #: Containers of a page that vote.
 VOTES = 3
+#: Characters from which text inside a link is read as text: whole articles may be links.
+LONG_LINK = 120
+#: Different main texts of a host from which its pages judge a part together.
+JURY = 3
+#: Words from which a page alone takes a part into its text; labels need the host's voice.
+FEW_WORDS = 3
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 #: An attribute and its value in double quotes, in single quotes or bare; a quote that never closes is no quote.
@@ -61,9 +68,11 @@ READ = {"class", "id", "role", "hidden", "style", "itemprop", "aria-hidden"}
 WORD = re.compile(r"[a-z]+")
 PARSED = (
     StructType()
-    .add("blocks", ArrayType(columns(text="string").add("inside", ArrayType(IntegerType()))))
+    .add("blocks", ArrayType(columns(text="string", part="string").add("inside", ArrayType(IntegerType()))))
     .add("containers", ArrayType(columns(path="string", score="double").add("whole", BooleanType())))
     .add("votes", ArrayType(columns(path="string", weight="double")))
+    .add("main", LongType())
+    .add("parts", ArrayType(columns(path="string", plain="long", linked="long", words="long", print="long")))
 )
 #: Hosts and characters up to which the table of winners is sent to every task.
 BROADCAST_HOSTS = 200_000
@@ -223,7 +232,7 @@ class Page:
             if token[0] == "text":
                 if not unwanted:
                     self._text.append(token[1])
-                    if links:
+                    if links and len(token[1]) < LONG_LINK:
                         self._linked += len(token[1])
                 elif doubts and not hard and not links:
                     around, own, marked = self._doubts[doubts[-1]]
@@ -308,6 +317,37 @@ class Page:
         held = [{self.containers[i][0] for i in inside} for inside in around]
         return set.intersection(*held) if held else set()
 
+    def parts(self) -> tuple[list[str | None], int, dict[str, tuple[int, int, int, int]]]:
+        """Of each block its part (None in the best container), a print of the main text, and of each part
+        its characters outside and inside links, its words and a print of its text.
+
+        A part is what lies beside the best container: the outermost containers of one path that do not hold
+        the best one, or the text that stands by itself in a container around it.
+        """
+        scores = self.scores()
+        best = max(range(len(scores)), key=lambda i: (scores[i], i), default=None)
+        inner = next((inside for _, _, inside in self.blocks if best in inside), None)
+        if inner is None:
+            return [None] * len(self.blocks), 0, {}
+        around = set(inner[: inner.index(best)])
+        of_block: list[str | None] = []
+        texts: dict[str | None, list[tuple[str, int]]] = {}
+        for text, linked, inside in self.blocks:
+            part = None
+            if best not in inside:
+                own = next((c for c in inside if c not in around), None)
+                if own is not None:
+                    part = self.containers[own][0]
+                else:
+                    part = (self.containers[inside[-1]][0] + ">" if inside else "") + "text()"
+            of_block.append(part)
+            texts.setdefault(part, []).append((text, min(linked, len(text))))
+        prints = {part: _print(text for text, _ in held) for part, held in texts.items()}
+        return of_block, prints[None], {
+            part: (sum(len(t) - n for t, n in held), sum(n for _, n in held), sum(len(t.split()) for t, _ in held), prints[part])
+            for part, held in texts.items() if part is not None
+        }
+
     def votes(self) -> list[tuple[str, float]]:
         """The best containers' paths, weighted by their part of the best score."""
         scores = self.scores()
@@ -320,6 +360,11 @@ class Page:
         return list(paths.items())
 
 
+def _print(texts) -> int:
+    whole = "\n".join(texts).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), "little", signed=True)
+
+
 def host_of(url: str) -> Column:
     """Lower-case host of an address, without user and port; empty if there is none."""
     rest = F.regexp_replace(F.coalesce(F.col(url).cast("string"), F.lit("")), r"^.*?://", "")
@@ -328,11 +373,12 @@ def host_of(url: str) -> Column:
 
 
 def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``row_id, url, host, blocks, containers, votes``: each page parsed once.
+    """``row_id, url, host, blocks, containers, votes, main, parts``: each page parsed once.
 
-    ``blocks`` are ``(text, inside)`` with the numbers of the containers around a block,
+    ``blocks`` are ``(text, part, inside)`` with the numbers of the containers around a block,
     ``containers`` are ``(path, score, whole)``, where ``whole`` says that the path's containers hold
-    all that the page's best container has outside links, and ``votes`` are ``(path, weight)``.
+    all that the page's best container has outside links, and ``votes`` are ``(path, weight)``. ``main`` is a
+    print of the best container's text, ``parts`` are ``(path, plain, linked, words, print)`` of what lies beside it.
     """
     source = pages.select(
         F.col(id_col).alias("row_id"), F.col(url_col).cast("string").alias("url"), host_of(url_col).alias("host"),
@@ -343,9 +389,16 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     def make():
         def apply(ids, urls, hosts, htmls):
             parsed = [Page(h or "") for h in htmls]
+            beside = [p.parts() for p in parsed]
             return {
                 "row_id": ids, "url": urls, "host": hosts,
-                "blocks": [[{"text": t, "inside": list(inside)} for t, _, inside in p.blocks] for p in parsed],
+                "blocks": [
+                    [
+                        {"text": text, "part": part, "inside": list(inside)}
+                        for (text, _, inside), part in zip(p.blocks, of_block)
+                    ]
+                    for p, (of_block, _, _) in zip(parsed, beside)
+                ],
                 "containers": [
                     [
                         {"path": path, "score": score, "whole": path in whole}
@@ -354,6 +407,11 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     for p in parsed for whole in (p.whole_paths(),)
                 ],
                 "votes": [[{"path": path, "weight": weight} for path, weight in p.votes()] for p in parsed],
+                "main": [main for _, main, _ in beside],
+                "parts": [
+                    [{"path": k, "plain": v[0], "linked": v[1], "words": v[2], "print": v[3]} for k, v in parts.items()]
+                    for _, _, parts in beside
+                ],
             }
 
         return apply
@@ -371,8 +429,63 @@ def winning_paths(parsed: DataFrame) -> DataFrame:
     return summed.groupBy("host").agg(F.max_by("path", F.struct("weight", "path")).alias("path"))
 
 
+def judged_parts(parsed: DataFrame) -> DataFrame:
+    """``host, path, kept``: what the pages of a host say together of a part beside the article.
+
+    A part is judged where it stands beside ``JURY`` different main texts. It is kept if most of its
+    characters are outside links and it is not one text on many pages: its different texts are more than half
+    as many as the main texts beside them. Copies of one page are one voice.
+    """
+    seen = parsed.select("host", "main", F.explode("parts").alias("p")).select("host", "main", "p.*")
+    voices = seen.groupBy("host", "path", "main", "print").agg(F.max("plain").alias("plain"), F.max("linked").alias("linked"))
+    return (
+        voices.groupBy("host", "path")
+        .agg(
+            F.count_distinct("main").alias("mains"), F.count_distinct("print").alias("texts"),
+            F.sum("plain").alias("plain"), F.sum("linked").alias("linked"),
+        )
+        .where(F.col("mains") >= JURY)
+        .select("host", "path", ((F.col("plain") > F.col("linked")) & (2 * F.col("texts") > F.col("mains"))).alias("kept"))
+    )
+
+
+def keep_parts(parsed: DataFrame, judged: DataFrame) -> DataFrame:
+    """``parsed`` with ``beside``, the paths of a page's parts that belong to its article.
+
+    Where the host has judged a part, that holds; else a part of ``FEW_WORDS`` is kept if most of it is outside links.
+    Only pages with parts join the verdicts; what meets again by page are its few paths.
+    """
+    own = F.transform(F.filter("parts", lambda p: (p["plain"] > p["linked"]) & (p["words"] >= FEW_WORDS)), lambda p: p["path"])
+    if judged.isEmpty():
+        return parsed.withColumn("beside", own)
+    alone = parsed.where(F.size("parts") == 0).withColumn("beside", own)
+    asked = parsed.where(F.size("parts") > 0)
+    paths = asked.select("page", "host", F.explode("parts").alias("p")).select("page", "host", "p.path")
+    verdicts = by_host(paths, judged, ["host", "path"], "page", "inner").groupBy("page").agg(
+        F.collect_list(F.when(F.col("kept"), F.col("path"))).alias("yes"),
+        F.collect_list(F.when(~F.col("kept"), F.col("path"))).alias("no"),
+    )
+    none = F.array().cast("array<string>")
+    beside = F.array_union(
+        F.array_except(own, F.coalesce("no", none)), F.coalesce("yes", none)
+    )
+    return alone.unionByName(asked.join(verdicts, "page", "left").withColumn("beside", beside).drop("yes", "no"))
+
+
+def by_host(rows: DataFrame, table: DataFrame, keys: list[str], spread: str, how: str) -> DataFrame:
+    """``rows`` joined to a table of few rows per host: broadcast up to a checked number and size, else salted."""
+    strings = [F.length(c) for c, t in table.dtypes if t == "string"]
+    size = table.agg(F.count(F.lit(1)), F.sum(sum(strings[1:], strings[0]))).first()
+    if size[0] <= BROADCAST_HOSTS and (size[1] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), keys, how)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1)))
+    return rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(HOST_SALTS)).cast("int")).join(
+        table.withColumn("salt", salts), [*keys, "salt"], how
+    ).drop("salt")
+
+
 def under(path: Column) -> Column:
-    """The text of a parsed page's blocks under a path.
+    """The text of a parsed page's blocks under a path, and of those in its parts ``beside``.
 
     Where the containers at the path leave out text of the page's own best container (``whole``), or
     there is no path, the best container is taken; a page without containers gives all its blocks.
@@ -386,7 +499,9 @@ def under(path: Column) -> Column:
     wanted = F.when(F.exists("containers", lambda c: c["path"].eqNullSafe(path) & c["whole"]), at_path).otherwise(own)
     text = lambda blocks: F.array_join(F.transform(blocks, lambda b: b["text"]), "\n")
     return F.when(F.size("containers") == 0, text(F.col("blocks"))).otherwise(
-        once(wanted, lambda w: text(F.filter("blocks", lambda b: F.arrays_overlap(b["inside"], w))))
+        once(wanted, lambda w: text(F.filter(
+            "blocks", lambda b: F.arrays_overlap(b["inside"], w) | F.coalesce(F.array_contains("beside", b["part"]), F.lit(False))
+        )))
     )
 
 
@@ -396,18 +511,16 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     Character references are decoded, white space inside a block becomes one space, and blocks are
     joined by one line end in page order. Null and empty pages have the empty text; pages without
     address form one host; a page of which the winning path would lose text uses its own best container.
-    Repeated rows count as so many votes. Pages are parsed once and stored as blocks; the
+    What lies beside that (a second article, paragraphs before it) is part of the text if it has three words
+    and most of it is outside links, unless the host's pages together say otherwise (``judged_parts``): the same text
+    beside different articles is none of theirs. Of equal scores the later container is the best.
+    Repeated rows count as so many votes for paths. Pages are parsed once and stored as blocks; the
     extraction with the winners reads them. Winners are broadcast up to a checked number and size
     of hosts; beyond, pages join them by host, salted.
     """
-    parsed, _ = write_table(parse_pages(pages, id_col, url_col, html_col), "parsed-pages")
+    pages = parse_pages(pages, id_col, url_col, html_col).withColumn("page", F.expr("uuid()"))
+    parsed, _ = write_table(pages, "parsed-pages")
     winners, _ = write_table(winning_paths(parsed), "host-paths")
-    size = winners.agg(F.count(F.lit(1)), F.sum(F.length("path") + F.length("host"))).first()
-    if size[0] <= BROADCAST_HOSTS and (size[1] or 0) <= BROADCAST_BYTES:
-        joined = parsed.join(F.broadcast(winners), "host", "left")
-    else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1)))
-        joined = parsed.withColumn("salt", F.pmod(F.xxhash64("url", "row_id"), F.lit(HOST_SALTS)).cast("int")).join(
-            winners.withColumn("salt", salts), ["host", "salt"], "left"
-        )
+    judged, _ = write_table(judged_parts(parsed), "host-parts")
+    joined = by_host(keep_parts(parsed, judged), winners, ["host"], "page", "left")
     return joined.select(F.col("row_id").alias(id_col), "url", under(F.col("path")).alias("text"), "path")

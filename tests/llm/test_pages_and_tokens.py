@@ -360,3 +360,41 @@ LINE = ("word " * 30).strip()
 ])
 def test_names_do_not_cost_the_article(html, want):
     assert [text for text, *_ in extraction.Page(html).blocks] == want
+
+
+LONG, SHORT = "a long story told in full " * 40, "and a short one beside it"
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body><article>{LONG}</article><article>{SHORT}</article>", [LONG, SHORT]),
+        (f"<body><section>{SHORT}</section><section>{LONG}</section>", [SHORT, LONG]),
+        (f"<main><p>{SHORT}</p><article>{LONG}</article></main>", [SHORT, LONG]),
+        (f"<body><div class=c><article>{LONG}</article></div><div class=d><p>{SHORT}</p></div>{SHORT}", [LONG, SHORT, SHORT]),
+        (f"<body><article>{LONG}</article><div><a href=x>one</a> <a href=y>two</a> -</div>", [LONG]),
+        (f"<body><a href=x><article>{LONG}</article></a><div>{SHORT}</div>", [LONG, SHORT]),
+        (f"<body><article>{LONG}</article><div class=comments>{SHORT}</div><aside>{SHORT}</aside>", [LONG]),
+    ],
+)
+def test_text_beside_the_best_container(spark, html, want):
+    got = extraction.extract_main_text(pages(spark, [(1, "http://h.com/1", html)])).collect()
+    assert got[0].text.split("\n") == [w.strip() for w in want]
+
+
+@pytest.mark.parametrize("hosts", [200_000, 0])
+def test_hosts_judge_parts(spark, hosts, monkeypatch):
+    """The same words beside different articles go, different words stay; copies of a page are one voice."""
+    monkeypatch.setattr(extraction, "BROADCAST_HOSTS", hosts)
+    page = lambda k, beside: f"<body><article>{k} {LONG}</article><div class=box>{beside}</div>"
+    rows = [(k, "http://same.com/p", page(k, "Buy our fine lamps today")) for k in range(6)]
+    rows += [(10 + k, "http://other.com/p", page(k, f"Part two of story {k}")) for k in range(6)]
+    rows += [(20 + k, "http://copies.com/p", page(7, "Part two of one story")) for k in range(6)]
+    rows += [(30, "http://one.com/p", page(8, "The only page here")), (None, None, None), (41, "http://same.com/q", "")]
+    rows += [(42, "http://same.com/q", page(9, "<a href=x>Buy our fine lamps today</a>"))]
+    got = {r.page_id: r.text.split("\n")[1:] for r in extraction.extract_main_text(pages(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    assert all(got[k] == [] for k in [*range(6), None, 41, 42])
+    assert all(got[10 + k] == [f"Part two of story {k}"] for k in range(6))
+    assert all(got[20 + k] == ["Part two of one story"] for k in range(6))
+    assert got[30] == ["The only page here"]
