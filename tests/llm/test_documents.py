@@ -296,3 +296,58 @@ def test_shards_are_even_and_gapless(spark, copies):
             homes[r.text_crc32].add(r.shard)
         assert all(len(h) == 1 for h in homes.values())
     assert sharding.shard_records(frame(spark, rows).limit(0), 6).count() == 0
+
+
+def test_homes_fill_to_one_level():
+    rng = random.Random(8)
+    for _ in range(300):
+        n = rng.randint(1, 30)
+        large = {k: rng.randint(1, 10**6) for k in range(rng.randint(0, 40))}
+        total = sum(large.values()) + rng.randint(0, 10**7)
+        home, bounds = sharding._homes(large, total, n)
+        assert set(home) == {h for h, size in large.items() if size <= -(-total // n)}
+        loads = [0.0] * n
+        for h, k in home.items():
+            loads[k] += large[h]
+        fixed, rest = list(loads), total - sum(loads)
+        edges = [0, *bounds, rest]
+        assert len(bounds) == n - 1 and edges == sorted(edges)
+        for k in range(n):
+            loads[k] += edges[k + 1] - edges[k]
+        level = max([load for load, own in zip(loads, fixed) if load > own + 2], default=0)
+        assert all(load >= level - 2 or rest == 0 for load in loads)
+
+
+@pytest.mark.parametrize("part", [0.05, 0.2, 0.5, 0.95])
+def test_equal_texts_up_to_a_shard_stay_together(spark, part):
+    """Groups between 1/16 and one shard, beside small ones and one of two and a half shards."""
+    rng = random.Random(9)
+    plain = ["w" * rng.randint(1, 400) + str(k) for k in range(1200)]
+    each = int(sum(map(len, plain)) * part / 6 / 320)
+    rows = list(enumerate(plain)) + [(2000 + g * 500 + k, f"group {g} " * 40) for g in range(4) for k in range(each)]
+    rows += [(9000 + k, "hot text " * 30) for k in range(600)]
+    got = sharding.shard_records(frame(spark, rows), 6).collect()
+    sizes, slots, homes = collections.Counter(), collections.defaultdict(list), collections.defaultdict(set)
+    for r in got:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+        homes[r.text_crc32].add(r.shard)
+    mean = sum(sizes.values()) / 6
+    assert len(got) == len(rows) and len(sizes) == 6 and all(abs(s - mean) < 0.05 * mean for s in sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    hot = zlib.crc32(("hot text " * 30).encode())
+    assert all(len(h) == 1 for crc, h in homes.items() if crc != hot)
+
+
+def test_overfull_ranges_are_subdivided(spark, monkeypatch):
+    """With two drawn keys per range the first sample leaves ranges overfull; shards stay even and whole."""
+    monkeypatch.setattr(sharding, "DRAWS", 2)
+    rows = [(k, f"text {k} " * (k % 40 + 1)) for k in range(2000)] + [(None, None), (3000, "")]
+    got = sharding.shard_records(frame(spark, rows), 6).collect()
+    sizes, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    mean = sum(sizes.values()) / 6
+    assert len(got) == len(rows) and all(abs(s - mean) < 0.02 * mean for s in sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
