@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,12 +24,15 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HINT = re.compile(r"[0-9@]|[(\[{]at[)\]}]")
 
-# Candidates beyond the base: runs of digits and separators, their parts, and spelled-out addresses.
+# Candidates beyond the base: runs of digits and separators, their parts, and spelled-out addresses. Those
+# without brackets look like any words; they are candidates where the text has the same address elsewhere.
 RUN = re.compile(r"[+(]?[0-9][0-9().\x20/+-]*[0-9]")
 PART = re.compile(r"[^\x20]+")
+FOURS = re.compile(r"[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9])")
 SPELLED = re.compile(
     r"[A-Za-z0-9._%+-]+ ?[(\[{]at[)\]}] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[{]dot[)\]}]) ?[A-Za-z0-9-]+)+", re.I
 )
+LOOSE = re.compile(r"[A-Za-z0-9._%+-]+ at [A-Za-z0-9-]+(?: dot [A-Za-z0-9-]+)+", re.I)
 CUES = {
     "phone": 3, "tel": 3, "telephone": 3, "call": 3, "fax": 3, "mobile": 3, "cell": 3,
     "card": 2, "visa": 2, "mastercard": 2, "credit": 2, "mail": 0, "email": 0, "e-mail": 0,
@@ -39,6 +43,11 @@ N_FEATURES = 20
 N_LABELS = 1 + len(KINDS)
 #: Candidates at most so many characters apart are neighbours in the chain.
 NEAR = 120
+#: Digits that a local number shares with its full form, and digits of a number that may differ in one.
+TAIL = 7
+LONG_NUMBER = 10
+#: Weight of a skip edge between similar data; between equal ones it is 1.
+SIMILAR = 0.8
 
 #: Bounds of the fitting sample: documents, and candidates of a document.
 FIT_DOCS = 2_000
@@ -102,6 +111,8 @@ def _key(piece: str, label: int) -> str:
     """Equal for spellings of one datum: bare digits without country code, or the plain address."""
     if label == 2:  # dotted numbers keep their parts
         return piece
+    if LOOSE.fullmatch(piece):
+        return re.sub(r" dot ", ".", re.sub(r" at ", "@", piece.lower(), count=1))
     if "@" in piece or SPELLED.fullmatch(piece):
         plain = re.sub(r" ?[(\[{]at[)\]}] ?", "@", piece.lower())
         return re.sub(r" ?[(\[{]dot[)\]}] ?", ".", plain).replace(" ", "")
@@ -112,36 +123,83 @@ def _key(piece: str, label: int) -> str:
 def nodes_of(text: str, base: list[tuple[int, int, int]]) -> list[Node]:
     """Base spans and looser candidates that touch none of them, by start."""
     found = [Node(a, b, k + 1, _key(text[a:b], k + 1)) for a, b, k in base]
-    taken = [(a, b) for a, b, _ in base]
-    at = 0
-
-    def free(a: int, b: int) -> bool:
-        nonlocal at
-        while at < len(taken) and taken[at][1] <= a:
-            at += 1
-        return at == len(taken) or taken[at][0] >= b
+    taken: list[list[int]] = []  # what base spans cover, by start
+    for a, b, _ in base:
+        if taken and a < taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
+    starts = [a for a, _ in taken]
+
+    def free(a: int, b: int):
+        """What base spans leave of a stretch of the text."""
+        k = max(0, bisect_right(starts, a) - 1)
+        while k < len(taken) and taken[k][0] < b:
+            if taken[k][1] > a:
+                if taken[k][0] > a:
+                    yield a, taken[k][0]
+                a = taken[k][1]
+            k += 1
+        if a < b:
+            yield a, b
 
     for m in RUN.finditer(text):
-        whole, n = m.group(), sum(c.isdigit() for c in m.group())
-        if n < 7:
-            continue
-        if n <= 15 and " " in whole or n <= 19 and " " not in whole:
-            if free(m.start(), m.end()):
-                found.append(Node(m.start(), m.end(), 0, _key(whole, 0)))
-            continue
-        for p in PART.finditer(whole):
-            if 7 <= sum(c.isdigit() for c in p.group()) <= 19:
-                a, b = m.start() + p.start(), m.start() + p.end()
-                if free(a, b):
-                    found.append(Node(a, b, 0, _key(p.group(), 0)))
+        for a, b in free(*m.span()):
+            spans = [m.span()] if (a, b) == m.span() else [r.span() for r in RUN.finditer(text, a, b)]
+            for span in spans:
+                found += [Node(c, d, 0, _key(text[c:d], 0)) for c, d in _numbers(text, *span)]
     if re.search(r"[(\[{]at[)\]}]", text, re.I):
-        at = 0
         for m in SPELLED.finditer(text):
-            if free(m.start(), m.end()):
-                found.append(Node(m.start(), m.end(), 0, _key(m.group(), 0)))
+            if list(free(*m.span())) == [m.span()]:
+                found.append(Node(*m.span(), 0, _key(m.group(), 0)))
+    if " dot " in text.lower():
+        known = {n.key for n in found if "@" in n.key}
+        for m in LOOSE.finditer(text):
+            if (key := _key(m.group(), 0)) in known and list(free(*m.span())) == [m.span()]:
+                found.append(Node(*m.span(), 0, key))
     return sorted(found, key=lambda n: (n.start, n.stop, n.label))
 
 
+def _numbers(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Candidates in a run of digits: all of it, or of a run too long for one datum its parts.
+
+    Four groups of four digits are one candidate. Parts join their neighbours until these hold ``LONG_NUMBER``
+    digits, but none that would make more than a phone number's 13.
+    """
+    whole = text[a:b]
+    n = sum(c.isdigit() for c in whole)
+    if n < 7:
+        return []
+    if n <= 15 and " " in whole or n <= 19 and " " not in whole:
+        return [(a, b)]
+    out, start, held = [], a, 0
+
+    def flush(stop):
+        nonlocal held
+        if 7 <= held <= 19:
+            out.append((start, stop))
+        held = 0
+
+    stop = a
+    for p in PART.finditer(text, a, b):
+        if p.start() < stop:
+            continue  # inside four groups
+        if card := FOURS.match(text, p.start(), b):
+            flush(stop)
+            out.append(card.span())
+            stop = card.end()
+            continue
+        digits = sum(c.isdigit() for c in p.group())
+        if held + digits > 13:
+            flush(stop)
+        start = start if held else p.start()
+        held, stop = held + digits, p.end()
+        if held >= LONG_NUMBER:
+            flush(stop)
+    flush(stop)
+    return out
+
+
 def features(text: str, node: Node) -> np.ndarray:
     """What a candidate looks like and the word before it."""
     piece = text[node.start : node.stop]
@@ -167,21 +225,44 @@ def features(text: str, node: Node) -> np.ndarray:
     return f
 
 
-def edges_of(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges between near neighbours; skip edges from each candidate to the last of its key."""
+def edges_of(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int, float]]]:
+    """Chain edges between near neighbours; weighted skip edges from each candidate to the last alike.
+
+    Alike are equal keys, and with less weight numbers of equal last digits, one of them local, and long
+    numbers that differ in one digit. Each candidate has at most four skip edges back.
+    """
     chain = [(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1].start - nodes[i].stop <= NEAR]
-    last: dict[str, int] = {}
+    last: dict[tuple, int] = {}
     skip = []
     for i, node in enumerate(nodes):
-        if node.key in last:
-            skip.append((last[node.key], i))
-        last[node.key] = i
+        key, digits = node.key, node.key.isdigit()
+        marks = [("key", key)]
+        if digits and TAIL <= len(key) <= LONG_NUMBER:
+            marks.append(("tail", key[-TAIL:]))
+        if digits and len(key) >= LONG_NUMBER:
+            half = len(key) // 2
+            marks += [("head", len(key), key[:half]), ("rest", len(key), key[half:])]
+        linked = set()
+        for mark in marks:
+            j = last.get(mark)
+            if j is not None and j not in linked:
+                other = nodes[j].key
+                if other == key:
+                    weight = 1.0
+                elif mark[0] == "tail":
+                    weight = SIMILAR if min(len(key), len(other)) < LONG_NUMBER else 0.0
+                else:
+                    weight = SIMILAR if sum(x != y for x, y in zip(key, other)) == 1 else 0.0
+                if weight:
+                    linked.add(j)
+                    skip.append((j, i, weight))
+            last[mark] = i
     return chain, skip
 
 
 @dataclass
 class Field:
-    """Weights: of features per label, of label pairs along the chain, of equal labels along skips."""
+    """Weights: of features per label, of label pairs along the chain, of equal labels along skips of weight 1."""
 
     node: np.ndarray
     chain: np.ndarray
@@ -195,7 +276,7 @@ class Field:
     def fit(x: np.ndarray, label: np.ndarray, around: np.ndarray, alike: np.ndarray, steps: int = 400) -> Field:
         """Pseudo-likelihood: each label given its features and its neighbours' labels.
 
-        ``around[i, l]`` and ``alike[i, l]`` count chain and skip neighbours with label ``l``.
+        ``around[i, l]`` counts chain neighbours with label ``l``, ``alike[i, l]`` skip neighbours of equal key.
         Half of the features are hidden in each step, so that a candidate which looks like
         nothing known learns to follow the candidates that share its key.
         """
@@ -225,9 +306,9 @@ class Field:
         fixed = known > 0
         local[fixed] = -50.0
         local[fixed, known[fixed]] = 0.0
-        pairs = np.array([*chain, *skip], np.int64).reshape(-1, 2)
+        pairs = np.array([*chain, *((i, j) for i, j, _ in skip)], np.int64).reshape(-1, 2)
         if len(pairs):
-            link = np.array([self.chain] * len(chain) + [self.skip * np.eye(N_LABELS)] * len(skip))
+            link = np.array([self.chain] * len(chain) + [self.skip * w * np.eye(N_LABELS) for _, _, w in skip])
             source = np.concatenate((pairs[:, 0], pairs[:, 1]))
             target = np.concatenate((pairs[:, 1], pairs[:, 0]))
             link = np.concatenate((link, link.transpose(0, 2, 1)))  # [edge, source label, target label]
@@ -283,6 +364,22 @@ def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
 EXAMPLES = columns(x="doubles", label="long", around="doubles", alike="doubles")
 
 
+def examples_of(text: str) -> tuple[list, list, list, list]:
+    """Of a text's first ``FIT_NODES`` candidates: features, base label, labels around, labels of equal keys.
+
+    Edges between similar numbers take no part in the fit: the base patterns, whose labels these are, tell
+    numbers apart by one digit.
+    """
+    nodes = nodes_of(text, base_spans(text))[:FIT_NODES]
+    around, alike = np.zeros((2, len(nodes), N_LABELS))
+    chain, skip = edges_of(nodes)
+    for counts, pairs in ((around, chain), (alike, [(i, j) for i, j, weight in skip if weight == 1])):
+        for i, j in pairs:
+            counts[i, nodes[j].label] += 1
+            counts[j, nodes[i].label] += 1
+    return [features(text, n).tolist() for n in nodes], [n.label for n in nodes], around.tolist(), alike.tolist()
+
+
 def fit_field(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DOCS) -> Field:
     """The field, fitted to about ``fit_docs`` documents with digits or addresses, chosen by hash.
 
@@ -297,20 +394,8 @@ def fit_field(docs: DataFrame, text_col: str = "text", fit_docs: int = FIT_DOCS)
 
     def make():
         def apply(texts):
-            out = {"x": [], "label": [], "around": [], "alike": []}
-            for text in texts:
-                nodes = nodes_of(text, base_spans(text))[:FIT_NODES]
-                around, alike = np.zeros((2, len(nodes), N_LABELS))
-                chain, skip = edges_of(nodes)
-                for counts, pairs in ((around, chain), (alike, skip)):
-                    for i, j in pairs:
-                        counts[i, nodes[j].label] += 1
-                        counts[j, nodes[i].label] += 1
-                for i, n in enumerate(nodes):
-                    out["x"].append(features(text, n).tolist())
-                    out["label"].append(n.label)
-                    out["around"].append(around[i].tolist())
-                    out["alike"].append(alike[i].tolist())
+            parts = [examples_of(text) for text in texts]
+            out = {name: [v for part in parts for v in part[k]] for k, name in enumerate(EXAMPLES.fieldNames())}
             return out
 
         return apply

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +265,70 @@ def test_skip_chain_adds_what_repeats(spark):
     assert private_data.all_spans("call 555 123 4567", private_data.Field.blank()) == []
 
 
+def test_candidates_are_cut_at_base_spans():
+    def loose(text):
+        return [text[n.start : n.stop] for n in private_data.nodes_of(text, private_data.base_spans(text)) if not n.label]
+
+    assert loose("555.123.4567 10.0.0.1") == ["555.123.4567"]
+    assert loose("(555) 123-4567 4111 1111 1111 1111") == ["(555) 123-4567", "4111 1111 1111 1111"]
+    assert loose(f"(555) 123-4567 a {CARD}") == ["(555) 123-4567"]
+    assert loose("555 123 4567 555 987 6543 555 000 1111") == ["555 123 4567", "555 987 6543", "555 000 1111"]
+    assert loose("bob at site dot com") == [] and loose("bob@site.com bob at site dot com") == ["bob at site dot com"]
+    rng = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rng.choice("12345 -.()+@a") for _ in range(80))
+        base = private_data.base_spans(text)
+        spans = sorted((n.start, n.stop) for n in private_data.nodes_of(text, base) if not n.label)
+        assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+        assert all(b <= c or d <= a for a, b in spans for c, d, _ in base)
+
+
+def test_messages_equal_enumerated_marginals():
+    """On trees of chain and skip edges message passing is exact."""
+    rng, n_labels = np.random.default_rng(3), private_data.N_LABELS
+    for _ in range(20):
+        n = 5
+        field = private_data.Field.blank()
+        field.node[:] = rng.normal(size=field.node.shape)
+        field.chain[:] = (half := rng.normal(size=field.chain.shape)) + half.T
+        field.skip = 2.0
+        edges = [(int(rng.integers(0, j)), j) for j in range(1, n)]
+        chain, skip = edges[:2], [(i, j, float(rng.uniform(0.5, 1))) for i, j in edges[2:]]
+        x, known = rng.normal(size=(n, private_data.N_FEATURES)), np.array([0, 0, 3, 0, 0])
+        want, local = np.zeros((n, n_labels)), x @ field.node.T
+        for labels in itertools.product(range(n_labels), repeat=n):
+            if labels[2] == 3:
+                score = sum(local[k, labels[k]] for k in range(n)) + sum(field.chain[labels[i], labels[j]] for i, j in chain)
+                score += sum(field.skip * w * (labels[i] == labels[j]) for i, j, w in skip)
+                score -= local[2, 3]
+                for k in range(n):
+                    want[k, labels[k]] += np.exp(score)
+        want /= want.sum(axis=1, keepdims=True)
+        assert np.abs(field.marginals(x, known, chain, skip) - want).max() < 1e-3
+
+
+@pytest.mark.parametrize("text, added", [
+    ("Call +1 555 123 4567 now. {} the number 123-4567 later", "123-4567"),
+    ("Card 4539578763621486 now. {} the number 4539578763621487 later", "4539578763621487"),
+    ("Card 4539578763621486 now. {} the number 4539578763621486x 1234 5678 9012 3457", None),
+    ("Call +1 555 123 4567 now. {} the number 999-4567 later", None),
+])
+def test_only_the_skip_edge_decides(small_dir, text, added):
+    """Planted numbers far from each other: without skip edges the field adds none of them."""
+    text = text.format("w " * 100)
+    docs = pd.read_parquet(small_dir.replace("sf0.001", "sf0.1") + "/documents.parquet", columns=["text"]).text.dropna()
+    rows = [[], [], [], []]
+    for doc in docs[docs.str.contains("[0-9@]")]:
+        for part, values in zip(rows, private_data.examples_of(doc)):
+            part.extend(values)
+    field = private_data.Field.fit(*map(np.array, rows))
+    base = private_data.base_spans(text)
+    extra = lambda f: [text[a:b] for a, b, k in private_data.all_spans(text, f, base) if (a, b, k) not in base]
+    assert added in extra(field) if added else not extra(field)
+    field.skip = 0.0
+    assert extra(field) == []
+
+
 def test_held_out_labels_of_the_field(spark, small_dir):
     """Fitted to one half by hash, the field labels base entities of the other half from their looks."""
     docs = spark.read.parquet(small_dir.replace("sf0.001", "sf0.1") + "/documents.parquet")
