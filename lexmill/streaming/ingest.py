@@ -1,24 +1,21 @@
 """Incremental ingest of shard files.
 
 ``ingest`` takes files that are whole shards, so packing them needs no state from other batches.
-``ingest_growing`` takes shards that come in several files and keeps the open end of each stream. The
+``ingest_growing`` takes shards that come in several files and stores the open end of each stream. The
 split is decided when the result is read, since it depends on the full shard list.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexmill import schemas
 from lexmill.functions.text import strip
 from lexmill.operators.ordering import running_offset
-from lexmill.operators.packing import chunks, examples
-from lexmill.session import drop_table, folder_names, path_exists, publish_folder, remove_folder, write_table
+from lexmill.operators.packing import chunk_count, chunks, examples
+from lexmill.session import drop_table, folder_names, path_exists, publish_files, publish_folder, remove_folder, write_table
 
 
 def shard_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
@@ -80,82 +77,72 @@ def ingest(
     )
 
 
-# Fixed value: the state store that arbitrary state needs.
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+OPEN_ENDS = "shard int, chunk bigint, ids array<int>"
 
 
-def numbered_lines(lines: DataFrame) -> DataFrame:
-    """``shard, file, byte, line, content``: lines of a piece of a file are numbered where they are read."""
-    schema = pa.schema(
-        [("shard", pa.int32()), ("file", pa.string()), ("byte", pa.int64()), ("line", pa.int64()), ("content", pa.string())]
-    )
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        line = 0
-        for batch in batches:
-            own = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            own["line"] = pa.array(range(line, line + batch.num_rows), pa.int64())
-            line += batch.num_rows
-            yield pa.RecordBatch.from_arrays([own[f.name].cast(f.type) for f in schema], schema=schema)
-
-    plain = lines.select("shard", F.col("piece.file").alias("file"), F.col("piece.byte").alias("byte"), "content")
-    return plain.mapInArrow(number, "shard int, file string, byte bigint, line bigint, content string")
+def pack_growing(lines: DataFrame, ends: DataFrame | None, tokenizer, context: int) -> tuple[DataFrame, DataFrame, str]:
+    """What new files of growing shards complete: examples, and the shards' new open ends.
 
-
-class PackShard(StatefulProcessor):
-    """Chunks of one shard's stream; the state is the next chunk's number and the tokens from its start on.
-
-    A chunk is final as soon as the stream holds its window and the next one, since only the last
-    full window is dropped. So fewer than two windows stay in the state.
+    An open end ``shard, chunk, ids`` is the next chunk's number and the tokens from its start on. It goes
+    before the new lines as one more document. A chunk is final as soon as the stream holds its window
+    and the next one, since only the last full window is dropped; so an end has fewer than two windows.
     """
-
-    def __init__(self, context: int):
-        self.context = context
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open_end = handle.getValueState("open_end", "chunk bigint, ids array<int>")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        parts = sorted(rows, key=lambda r: (r["file"], r["byte"], r["line"]))
-        chunk, held = self.open_end.get() if self.open_end.exists() else (0, [])
-        held = list(held)
-        c = self.context
-        for part in parts:
-            held += part["tokens"]
-            at = 0
-            while len(held) - at >= 2 * c:
-                window = held[at : at + c + 1]
-                yield Row(shard=key[0], chunk=chunk, x=window[:-1], y=window[1:])
-                chunk, at = chunk + 1, at + c
-            held = held[at:]
-        self.open_end.update((chunk, held))
-
-    def close(self) -> None:
-        pass
+    tokens = tokenizer.encode(strip(F.col("content")), bos=True, eos=True)
+    encoded = lines.select("shard", "piece", F.monotonically_increasing_id().alias("line"), tokens.alias("tokens"))
+    if ends is not None:
+        before = F.struct(F.lit("").alias("file"), F.lit(-1).cast("bigint").alias("byte"))
+        held = ends.select("shard", before.alias("piece"), F.lit(-1).cast("bigint").alias("line"), F.col("ids").alias("tokens"))
+        encoded = encoded.unionByName(held)
+    stored, path = write_table(encoded.withColumn("n", F.size("tokens")), "batch")
+    streams = running_offset(stored, ["piece", "line"], F.col("piece"), "n", within=["shard"])
+    # From where each stream goes on: one short row for each shard.
+    first = F.lit(0).cast("bigint").alias("first")
+    firsts = stored.select("shard").distinct().select("shard", first)
+    if ends is not None:
+        firsts = firsts.join(ends.select("shard", "chunk"), "shard", "left").select("shard", F.coalesce("chunk", "first").alias("first"))
+    packed = examples(chunks(streams, context), context).join(F.broadcast(firsts), "shard")
+    done = chunk_count(F.col("stream_len"), context)
+    start = F.greatest(F.col("offset"), done * context)
+    rest = F.slice("tokens", (start - F.col("offset") + 1).cast("int"), F.col("n"))
+    parts = streams.where(F.col("offset") + F.col("n") > done * context).select(
+        "shard", done.alias("done"), F.struct(start.alias("start"), rest.alias("ids")).alias("part")
+    )
+    open_ends = parts.groupBy("shard").agg(
+        F.first("done").alias("done"), F.flatten(F.array_sort(F.collect_list("part"))["ids"]).alias("ids")
+    )
+    return (
+        packed.select("shard", (F.col("first") + F.col("chunk")).alias("chunk"), "x", "y"),
+        open_ends.join(F.broadcast(firsts), "shard").select("shard", (F.col("first") + F.col("done")).alias("chunk"), "ids"),
+        path,
+    )
 
 
 def ingest_growing(
     spark: SparkSession, folder: str, target: str, checkpoint: str, tokenizer, context: int, files_per_batch: int = 1
 ):
-    """Start the ingest of shards that grow by files: ``shard, chunk, x, y`` are appended to the target.
+    """Start the ingest of shards that grow by files; every batch owns the files ``batch-<id>-*`` of the target.
 
     Files continue their shard's stream in the order in which batches take them, and by name within
-    a batch. Whatever the batches are, the rows are those of packing the whole shards at once. Lines
-    are encoded before they meet by shard; a task then holds one shard's tokens of one batch.
+    a batch. Whatever the batches are, the rows are those of packing the whole shards at once. The open
+    ends of all shards after a batch lie beside the checkpoint's files; a batch that runs again starts from
+    those of the batch before it and replaces its own rows and ends. No task holds a shard.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    tokens = tokenizer.encode(strip(F.col("content")), bos=True, eos=True)
-    encoded = numbered_lines(shard_stream(spark, folder, files_per_batch)).select(
-        "shard", "file", "byte", "line", tokens.alias("tokens")
-    )
-    packed = encoded.groupBy("shard").transformWithState(
-        PackShard(context), "shard int, chunk bigint, x array<int>, y array<int>", "Append", "None"
-    )
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        ends = session.read.schema(OPEN_ENDS).parquet(f"{checkpoint}/open_ends/{batch_id - 1}") if batch_id else None
+        packed, open_ends, scratch = pack_growing(batch, ends, tokenizer, context)
+        aside = f"{target}/_batch-{batch_id}"
+        packed.write.mode("overwrite").parquet(aside)
+        publish_files(session, aside, target, f"batch-{batch_id}-")
+        open_ends.coalesce(1).write.mode("overwrite").parquet(f"{checkpoint}/open_ends/{batch_id}")
+        drop_table(session, scratch)
+        remove_folder(session, f"{checkpoint}/open_ends/{batch_id - 2}")
+
     return (
-        packed.writeStream.format("parquet")
-        .option("path", target)
+        shard_stream(spark, folder, files_per_batch)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

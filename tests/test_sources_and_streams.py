@@ -1,5 +1,6 @@
 import os
 import struct
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -297,3 +298,29 @@ def test_a_batch_writes_only_the_shards_that_it_changes(spark):
     ingest.merge_counts(spark, out)
     ingest.merge_counts(spark, out)
     assert {r["shard"]: (r["n_docs"], r["n_tokens"]) for r in ingest.latest_counts(spark, out).collect()} == third
+
+
+def test_growing_ingest_holds_no_shard_and_replaces_a_batch(spark):
+    """Lines meet by blocks of files, ends go from batch to batch, and a batch that runs again adds no row."""
+    tok = tokenizer(spark)
+    schema = "shard int, ord string, doc_id long, title string, content string"
+    folder, out, cp = fresh_path(spark, "in"), fresh_path(spark, "out"), fresh_path(spark, "cp")
+    stream = []
+    for k in range(3):
+        rows = [(0, f"{k}{i}", 10 * k + i, "t", "texte" * i) for i in range(4)]
+        jsonl.append_files(spark.createDataFrame(rows, schema), folder, 1)
+        stream += [t for r in rows for t in (0, *(tok.pieces[c] for c in r[4]), 1)]
+        ingest.ingest_growing(spark, folder, out, cp, tok, 8).awaitTermination()
+    want = [(i, stream[8 * i : 8 * i + 8], stream[8 * i + 1 : 8 * i + 9]) for i in range(len(stream) // 8 - 1)]
+    assert [tuple(r) for r in spark.read.parquet(out).select("chunk", "x", "y").orderBy("chunk").collect()] == want
+    # The ends after the last batch: the next chunk and all tokens from its start on.
+    end = spark.read.parquet(f"{cp}/open_ends/2").first()
+    assert (end["chunk"], end["ids"]) == (len(want), stream[8 * len(want) :])
+    # The last batch runs again, from the ends of the batch before it.
+    commit = next(p for p in Path(f"{cp}/commits").iterdir() if p.name == "2")
+    commit.unlink()
+    Path(f"{cp}/commits/.2.crc").unlink(missing_ok=True)
+    ingest.ingest_growing(spark, folder, out, cp, tok, 8).awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(out).select("chunk", "x", "y").orderBy("chunk").collect()] == want
+    # Nothing of the stream's state is a Python task that takes a shard's rows.
+    assert not hasattr(ingest, "PackShard")
