@@ -42,6 +42,21 @@ RETURN SELECT block, start, slice(tokens, int(start - o + 1), int(stop - start))
   FROM explode(sequence(greatest((o - 1) div (context * width), 0), (o + size(tokens) - 1) div (context * width))) AS c(i)
   WHERE size(tokens) > 0 AND stream_len div context > 1)
 WHERE start < stop"""
+# The same parts as an array: ``inline`` of it keeps each document in its row, where the lateral join that
+# a table function becomes finds equal arguments, tokens included, by an exchange and joins them back.
+BLOCK_PARTS = """block_parts(tokens ARRAY<INT>, o BIGINT, stream_len BIGINT, context INT, width INT)
+RETURNS ARRAY<STRUCT<block: BIGINT, start: BIGINT, ids: ARRAY<INT>>>
+RETURN transform(
+  filter(
+    transform(
+      if(size(tokens) > 0 AND stream_len div context > 1,
+         sequence(greatest((o - 1) div (context * width), 0), (o + size(tokens) - 1) div (context * width)),
+         CAST(array() AS ARRAY<BIGINT>)),
+      i -> named_struct('block', i, 'start', greatest(o, i * context * width),
+                        'stop', least(o + size(tokens), (i + 1) * context * width + 1,
+                                      greatest(stream_len div context - 1, 0) * context + 1))),
+    p -> p.start < p.stop),
+  p -> named_struct('block', p.block, 'start', p.start, 'ids', slice(tokens, int(p.start - o + 1), int(p.stop - p.start))))"""
 
 
 @F.udtf(returnType="shard int, chunk bigint, x array<int>, y array<int>")
@@ -49,7 +64,7 @@ class PackChunks:
     """Next-token examples of one block of a stream, from its parts in order.
 
     Called as ``pack_chunks(TABLE(parts) PARTITION BY (shard, block) ORDER BY (start), context)``, with parts
-    ``shard, block, start, ids`` from ``stream_blocks``. Holds one chunk and one part at a time.
+    ``shard, block, start, ids`` from ``block_parts`` or ``stream_blocks``. Holds one chunk and one part at a time.
     """
 
     def __init__(self):
@@ -79,6 +94,7 @@ def register(spark: SparkSession, *tokenizers) -> None:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {PIECES}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {BLOCKS}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {BLOCK_PARTS}")
     spark.udtf.register("pack_chunks", PackChunks)
     for tokenizer in tokenizers:
         for signature, body in tokenizer.sql_functions().items():

@@ -367,3 +367,20 @@ def test_packing_in_sql_equals_plain_chunks(spark, width):
     ).collect()
     want = [(s, i, c[:-1], c[1:]) for s, stream in streams.items() for i, c in enumerate(plain_chunks(stream, context))]
     assert sorted((r["shard"], r["chunk"], r["x"], r["y"]) for r in got) == sorted(want)
+
+
+def test_parts_of_blocks_keep_documents_in_their_rows(spark):
+    """The array of parts equals the table function's rows, and its plan neither joins nor groups by tokens."""
+    rows = [(0, 0, 31, list(range(20))), (0, 20, 31, []), (0, 20, 31, list(range(11))), (1, 0, 3, [1, 2, 3]), (2, 0, 0, None)]
+    table = spark.createDataFrame(rows, "shard int, offset long, stream_len long, tokens array<int>")
+    sql.register(spark)
+    want = spark.sql(
+        "SELECT s.shard, b.* FROM {t} AS s, LATERAL stream_blocks(tokens, offset, stream_len, 4, 2) AS b", t=table
+    )
+    got = spark.sql(
+        "SELECT shard, inline(parts) AS (block, start, ids) FROM (SELECT shard, block_parts(tokens, offset, stream_len, 4, 2) AS parts FROM {t})",
+        t=table,
+    )
+    assert got.count() and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
