@@ -1,14 +1,35 @@
-"""Character tokenizer: code-point lookup tables, all inside the JVM."""
+"""Character tokenizer: code-point lookup tables, for encoding in Arrow batches, for decoding inside the JVM."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexmill.functions.text import characters
+from lexmill.functions.text import code_points, text_ends
 
 MAX_CODE_POINTS = 0x110000
 
 
+def encode_udf(id_of: dict[int, int], unk: int):
+    """Arrow function from text to the ids of its code points; a null text has null ids."""
+    table = np.full(MAX_CODE_POINTS, unk, np.int32)
+    for code, i in id_of.items():
+        table[code] = i
+    table = table[: max(id_of, default=0) + 2]  # the last entry is unknown and stands for all beyond
+
+    @F.arrow_udf("array<int>")
+    def char_encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            ids = [table[np.minimum(points, len(table) - 1)] for points in code_points(texts)]
+            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+            yield pa.ListArray.from_arrays(pa.array(text_ends(texts)), pa.array(flat), mask=texts.is_null())
+
+    return char_encode
+
+
 class CharTokenizer:
     """Maps characters to ids and back; unknown characters become ``<unk>``."""
 
@@ -48,11 +69,8 @@ class CharTokenizer:
         return {}
 
     def encode(self, text: Column, bos: bool = False, eos: bool = False) -> Column:
-        # A constant array: the lookup by code point costs the same for any alphabet.
-        ids = F.split(F.lit(self._ids_by_code()), ",").cast("array<int>")
-        body = F.transform(
-            characters(text), lambda c: F.coalesce(F.get(ids, F.ascii(c)), F.lit(self.unk))
-        )
+        # A table by code point: the lookup costs the same for any alphabet.
+        body = encode_udf({ord(c): i for c, i in self.pieces.items() if len(c) == 1}, self.unk)(F.make_valid_utf8(text))
         return with_markers(body, self.bos if bos else None, self.eos if eos else None)
 
     def decode(self, ids: Column) -> Column:

@@ -384,3 +384,15 @@ def test_parts_of_blocks_keep_documents_in_their_rows(spark):
     assert got.count() and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_characters_are_encoded_and_found_in_batches(spark):
+    texts = spark.createDataFrame([("ab\U0001f600a\0",), (None,), ("",), ("b￿é",)], "content string")
+    assert sorted(r["ch"] for r in vocab.distinct_characters(texts, "content").collect()) == sorted("ab\U0001f600\0￿é")
+    tokenizer = CharTokenizer({"<s>": 0, "</s>": 1, "<unk>": 2, "a": 3, "é": 4})
+    encoded = texts.select(tokenizer.encode(F.col("content")).alias("ids"), tokenizer.encode(F.col("content"), True, True).alias("marked"))
+    got = encoded.collect()
+    assert [r["ids"] for r in got] == [[3, 2, 2, 3, 2], None, [], [2, 2, 4]]
+    assert [r["marked"] for r in got] == [[0, 3, 2, 2, 3, 2, 1], None, [0, 1], [0, 2, 2, 4, 1]]
+    # No lookup runs once per character inside the plan.
+    assert "lambdafunction" not in encoded._jdf.queryExecution().optimizedPlan().toString()
