@@ -396,3 +396,24 @@ def test_characters_are_encoded_and_found_in_batches(spark):
     assert [r["marked"] for r in got] == [[0, 3, 2, 2, 3, 2, 1], None, [0, 1], [0, 2, 2, 4, 1]]
     # No lookup runs once per character inside the plan.
     assert "lambdafunction" not in encoded._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_added_up_by_tasks_in_bounded_memory(spark, monkeypatch):
+    monkeypatch.setattr(vocab, "HELD_WORDS", 2)
+    lines = spark.createDataFrame([("a b  a",), (None,), ("",), ("c\td ▁ a b",), (" ",)], "line string").coalesce(1)
+    counted = vocab.word_counts(lines)
+    assert {tuple(r) for r in counted.collect()} == {("▁a", 3), ("▁b", 2), ("▁c\td", 1), ("▁▁", 1)}
+    assert "MapInArrow" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prefixes_expand_different_chunks_only(spark, monkeypatch):
+    """Equal chunks meet before they are expanded to one row per position."""
+    seen = []
+    expand = packing.prefix_examples
+    monkeypatch.setattr(packing, "prefix_examples", lambda df, c: (seen.append(df), expand(df, c))[1])
+    streams = [("0", 0, 1, [1, 2, 3, 4] * 5), ("1", 1, 2, [1, 2, 3, 4] * 5)]
+    tokens = spark.createDataFrame(streams, "ord string, shard int, doc_id long, tokens array<int>").withColumn("n", F.size("tokens"))
+    monkeypatch.setattr(catalog, "_stored_char_tokens", lambda s, d: (tokens, None))
+    got = {(r["prefix"], r["target"]): r["n"] for r in catalog.prefixes(spark, "").collect()}
+    assert got == {("1", 2): 8, ("1 2", 3): 8, ("1 2 3", 4): 8, ("1 2 3 4", 1): 8}
+    assert seen[0].count() == 1
