@@ -23,6 +23,29 @@ def marked_words(column: str):
     )
 
 
+def word_places(rows: DataFrame, column: str) -> DataFrame:
+    """``_row, word, places``: each word of a row once, words as ``marked_words`` cuts them; moves no row."""
+    schema = pa.schema([("_row", pa.int64()), ("word", pa.string()), ("places", pa.list_(pa.int32()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids: list[int] = []
+            words: list[str] = []
+            places: list[list[int]] = []
+            for row, text in zip(*(c.to_pylist() for c in batch.columns)):
+                found: dict[str, list[int]] = {}
+                parts = (part for word in (text or "").split(" ") if word for part in word.split(WORD_START))
+                for place, part in enumerate(parts):
+                    found.setdefault(part, []).append(place)
+                ids += [row] * len(found)
+                words += [WORD_START + part for part in found]
+                places += found.values()
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((ids, words, places), schema)], schema=schema)
+
+    valid = F.make_valid_utf8(F.col(column)).alias("text")
+    return rows.select("_row", valid).mapInArrow(run, "_row bigint, word string, places array<int>")
+
+
 def encoded_words(words: DataFrame, tokenizer: BpeTokenizer) -> DataFrame:
     """``word, ids`` of distinct words, each encoded once."""
     piece_ids = tokenizer.piece_ids()
@@ -48,10 +71,7 @@ def dictionary_encode(texts: DataFrame, tokenizer: BpeTokenizer, column: str = "
     A null or blank text has no ids. Rows may repeat.
     """
     numbered, path = write_table(texts.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    words = numbered.select("_row", F.posexplode(marked_words(column)).alias("place", "word"))
-    places, places_path = write_table(
-        words.groupBy("_row", "word").agg(F.collect_list("place").alias("places")), "word-places"
-    )
+    places, places_path = write_table(word_places(numbered, column), "word-places")
     counted = places.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     known, _ = write_table(encoded_words(counted, tokenizer).join(counted, "word"), "word-ids")
     total = places.count()

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lexmill import schemas
 from lexmill.functions import sql
-from lexmill.operators import bpe, bpe_train, packing, stats, vocab
+from lexmill.operators import bpe, bpe_train, dictionary, packing, stats, vocab
 from lexmill.operators.chars import CharTokenizer
+from lexmill.plans import catalog
 from tests.plain import plain_chunks, plain_encode, plain_merges
 
 
@@ -417,3 +418,13 @@ def test_prefixes_expand_different_chunks_only(spark, monkeypatch):
     got = {(r["prefix"], r["target"]): r["n"] for r in catalog.prefixes(spark, "").collect()}
     assert got == {("1", 2): 8, ("1 2", 3): 8, ("1 2 3", 4): 8, ("1 2 3 4", 1): 8}
     assert seen[0].count() == 1
+
+
+def test_words_of_a_row_are_gathered_in_the_row(spark):
+    texts = [" a  b▁a c", None, "", "▁", "é a\nb a"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "_row long, content string")
+    got = dictionary.word_places(rows, "content")
+    want = rows.select("_row", F.posexplode(dictionary.marked_words("content")).alias("place", "word"))
+    want = want.groupBy("_row", "word").agg(F.sort_array(F.collect_list("place")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count()
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
