@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import re
+import os
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -20,7 +23,9 @@ END_ID = 1
 #: Words, and parts of words, of a generation; a worker remembers two.
 GENERATION = 500_000
 #: Words or parts that are encoded in one call.
-TOGETHER = 2_000
+TOGETHER = 10_000
+#: Characters at which the rows of a task that wait to be encoded are encoded together.
+SLICE_CHARS = 8_000_000
 #: Examples that compete for a sequence.
 CANDIDATES = 1_024
 #: Shortest piece that a cut may leave.
@@ -28,17 +33,10 @@ MIN_PIECE = 4
 #: Sequence ids of a task start at its partition number times this.
 IDS_PER_TASK = 1 << 36
 
-# What the tokenizer's \s matches. str.split() splits at U+001C to U+001F as well.
-WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-SEPARATORS = re.compile("[\x1c-\x1f]")
-
-
 # Words of ASCII and Latin letters that the tokenizer's normal form only lower-cases, and, in lower case, the parts that
-# it encodes apart. U+0130 is left out: its lower case is two characters.
-PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
-PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u017f]+|[0-9]|\n|[^a-z\u00df-\u017f0-9\n]+")
-#: Stands between words in joined ids; no id has a high byte of 255, so it is found at borders only.
-BORDER = b"\xff\xff"
+# it encodes apart, as Arrow's patterns. U+0130 is left out: its lower case is two characters.
+PLAIN = r"^[!-~\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{17f}]+$"
+PARTS = r"('s|'t|'re|'ve|'m|'ll|'d|[a-z\x{df}-\x{17f}]+|[0-9]|[^a-z\x{df}-\x{17f}0-9]+)"
 
 
 class Remembered:
@@ -49,34 +47,45 @@ class Remembered:
         self.now: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def runs(self, words: list[str]) -> list[bytes]:
-        """The joined values of each run of words; line ends stand between runs."""
+    def values(self, words: pa.Array) -> pa.Array:
+        """The value of each word; words are distinct."""
         if len(self.now) > self.bound:
             self.now, self.old = {}, self.now
         now, old = self.now, self.old
-        now["\n"] = BORDER
-        found = list(map(now.get, words))
+        asked = words.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist()
+        found = list(map(now.get, asked))
         holes = [k for k, v in enumerate(found) if v is None]
         if holes:
-            asked = dict.fromkeys([words[k] for k in holes])
-            now.update({w: old[w] for w in asked if w in old})
-            new = [w for w in asked if w not in now]
+            missing = [asked[k] for k in holes]
+            now.update({w: old[w] for w in missing if w in old})
+            new = [w for w in missing if w not in now]
             now.update(zip(new, self.encode(new)))
             for k in holes:
-                found[k] = now[words[k]]
-        return b"".join(found).split(BORDER)
+                found[k] = now[asked[k]]
+        return pa.array(found, pa.large_binary())
+
+
+def joined_values(lists: pa.Array, encode: Callable[[pa.Array], pa.Array]) -> pa.Array:
+    """The joined values of each list of words; ``encode`` gives the values of distinct words."""
+    words = lists.flatten().dictionary_encode()
+    each = encode(words.dictionary).take(words.indices)
+    _, ends, data = each.buffers()
+    ends = np.frombuffer(ends, np.int64)[lists.offsets.to_numpy()]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends), data])
 
 
 class WordCoder:
-    """Encodes texts white-space run by run, remembering runs and their parts up to a bound.
+    """Encodes texts by words between ASCII white space, remembering parts of words up to a bound.
 
     The tokenizer drops white space before its merges and no rule of it reaches over white
-    space, so a text's ids are the ids of its runs. Runs of plain letters, digits and signs are cut to
-    the tokenizer's own parts here, as parts recur more often than runs; other runs, and those
-    with a special token, go through the whole tokenizer.
+    space, so a text's ids are the ids of its words. Each distinct word of a batch is encoded once. Words of
+    plain letters, digits and signs are cut to the tokenizer's own parts here, as parts recur more often than
+    words; other words, and those with a special token, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
+        # A task has one core, and the tokenizer shares a call out to threads unless told not to.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
@@ -85,46 +94,64 @@ class WordCoder:
         self.merges.normalizer = None
         self.merges.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(special)) if special else None
-        self.words = Remembered(GENERATION, self._encode)
-        self.parts = Remembered(GENERATION, lambda parts: self._joined(parts, False))
-
-    def _joined(self, words: list[str], whole: bool) -> list[bytes]:
-        """Ids of each word; ``whole`` words may be cut to parts, others are one part each."""
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(0x10000, bool)
+        if suffix:
+            self.last[[i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith(suffix)]] = True
+        self.words = Remembered(GENERATION, self._whole)
+        self.parts = Remembered(GENERATION, self._merged)
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        """Ids of each word by the whole tokenizer."""
         out: list[bytes] = []
         for at in range(0, len(words), TOGETHER):
-            part = words[at : at + TOGETHER]
-            found = (self.tokenizer if whole else self.merges).encode(" ".join(part), add_special_tokens=False)
-            if whole:
-                starts = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
-                place = np.searchsorted(starts, np.array([o[0] for o in found.offsets], np.int64), "right") - 1
-            else:
-                place = np.array(found.word_ids, np.int64)
-            data = np.array(found.ids, "<u2").tobytes()
-            ends = (2 * np.cumsum(np.bincount(place, minlength=len(part)))).tolist()
-            out += [data[a:b] for a, b in zip([0, *ends], ends)]
+            some = words[at : at + TOGETHER]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            starts = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
+            place = np.searchsorted(starts, np.array([o[0] for o in found.offsets], np.int64), "right") - 1
+            out += _cut(found.ids, np.cumsum(np.bincount(place, minlength=len(some))))
         return out
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        plain = [PLAIN.fullmatch(w) is not None for w in words]
-        if self.special and self.special.search(" ".join(words)):
-            plain = [p and not self.special.search(w) for p, w in zip(plain, words)]
-        # Plain words keep their number of characters in lower case, and have no line ends.
-        low = "\n".join([w for w, p in zip(words, plain) if p]).lower()
-        fast = self.parts.runs(PARTS.findall(low))
-        if all(plain):
-            return fast
-        slow = self._joined([w for w, p in zip(words, plain) if not p], True)
-        take, others = iter(fast), iter(slow)
-        return [next(take if p else others) for p in plain]
+    def _merged(self, parts: list[str]) -> list[bytes]:
+        """Ids of each part by the merges alone; the last id of a part has the suffix that ends words."""
+        out: list[bytes] = []
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at : at + TOGETHER]
+            line = " ".join(some)
+            ids = self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(some):  # a tokenizer without the suffix, or one that drops unknown characters
+                found = self.merges.encode(line, add_special_tokens=False)
+                ids, place = found.ids, np.array(found.word_ids, np.int64)
+                ends = np.cumsum(np.bincount(place, minlength=len(some)))
+            out += _cut(ids, ends)
+        return out
+
+    def _encode(self, words: pa.Array) -> pa.Array:
+        plain = pc.match_substring_regex(words, PLAIN)
+        for token in self.special:
+            plain = pc.and_not(plain, pc.match_substring(words, token))
+        low = pc.utf8_lower(words.filter(plain))
+        parts = pc.ascii_split_whitespace(pc.ascii_rtrim_whitespace(pc.replace_substring_regex(low, PARTS, r"\1 ")))
+        found = [joined_values(parts, self.parts.values), self.words.values(words.filter(pc.invert(plain)))]
+        here = plain.to_numpy(zero_copy_only=False)
+        place = np.where(here, np.cumsum(here), len(low) + np.cumsum(~here)) - 1
+        return pa.concat_arrays(found).take(pa.array(place))
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        words: list[str] = []
-        for text in texts:
-            words += [w for w in WHITE.split(text) if w] if SEPARATORS.search(text) else text.split()
-            words.append("\n")
-        return [np.frombuffer(run, "<u2") for run in self.words.runs(words)[:-1]]
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        found = joined_values(words, self._encode)
+        _, ends, data = found.buffers()
+        ids = np.frombuffer(data, "<u2")
+        ends = (np.frombuffer(ends, np.int64) // 2).tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _cut(ids: list[int], ends: np.ndarray) -> list[bytes]:
+    data = np.array(ids, "<u2").tobytes()
+    ends = (2 * ends).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 _coders: dict[str, WordCoder] = {}
@@ -238,8 +265,8 @@ def pack_documents(
     ``with_ids`` adds the ids of each piece.
 
     Every task packs the rows of its input partition, with a window of ``CANDIDATES`` examples, so
-    nothing is exchanged, no task holds more than its window, and only a task's last sequences
-    are short. Null texts and prompts are empty: such an example is the end id alone. Ids may be
+    nothing is exchanged, no task holds more than its window and ``SLICE_CHARS`` characters of rows to
+    encode, and only a task's last sequences are short. Null texts and prompts are empty: such an example is the end id alone. Ids may be
     null or repeated; repeated rows are packed as often. No rows give no rows. Other columns are
     not read.
     """
@@ -257,7 +284,8 @@ def pack_documents(
         first = TaskContext.get().partitionId() * IDS_PER_TASK
         held: dict[int, tuple] = {}  # examples that are not placed yet
         waiting: dict[int, int] = {}
-        state = {"key": 0, "sequence": first}
+        state = {"key": 0, "sequence": first, "chars": 0}
+        slices: list[tuple] = []  # rows that are not encoded yet
 
         def rows(sequences):
             names = schema.fieldNames()
@@ -279,7 +307,10 @@ def pack_documents(
                 state["sequence"] += 1
             return given
 
-        def apply(row_ids, prompts, texts):
+        def pack():
+            row_ids, prompts, texts = (list(chain.from_iterable(c)) for c in zip(*slices)) if slices else ((),) * 3
+            slices.clear()
+            state["chars"] = 0
             sequences = []
             found, before = use.encode_batch(texts), use.encode_batch(prompts)
             for row_id, lead, ids in zip(row_ids, before, found):
@@ -289,8 +320,13 @@ def pack_documents(
                 sequences += packer.add(Example(key, 0, len(ids), len(lead)))
                 if len(packer.window) >= 2 * CANDIDATES:
                     sequences += packer.drain(CANDIDATES)
-            return rows(sequences)
+            return sequences
+
+        def apply(row_ids, prompts, texts):
+            slices.append((row_ids, prompts, texts))
+            state["chars"] += sum(map(len, prompts)) + sum(map(len, texts))
+            return rows(pack() if state["chars"] >= SLICE_CHARS else [])
 
-        return apply, lambda: rows(packer.drain())
+        return apply, lambda: rows(pack() + packer.drain())
 
     return map_rows(source, schema, make).withColumnRenamed("row_id", id_col)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
+import json
 import random
 import zlib
 
@@ -329,6 +330,47 @@ def test_word_memory_forgets_and_stays_exact(monkeypatch):
         assert len(coder.words.old) <= 8 * 60
 
 
+def test_words_are_looked_up_once_a_batch():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+    coder = packing.WordCoder(public_tokenizers.path("word_bpe_49k.json"))
+    coder.words.now, coder.parts.now = Counted(), Counted()
+    texts = ["Plain words, and 日本 more; " * 500] * 20
+    assert len({a.tobytes() for a in coder.encode_batch(texts)}) == 1
+    assert coder.words.now.asked + coder.parts.now.asked <= 10
+
+
+@pytest.mark.parametrize("suffix", ["</w>", None])
+def test_words_of_every_letter(monkeypatch, tmp_path, suffix):
+    """Letters, marks and white space of the basic plane, also for a tokenizer without ends of words."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        made = json.load(f)
+    made["model"]["end_of_word_suffix"] = suffix
+    path = tmp_path / "made.json"
+    path.write_text(json.dumps(made), encoding="utf-8")
+    library = Tokenizer.from_file(str(path))
+    monkeypatch.setattr(packing, "TOGETHER", 50)
+    coder = packing.WordCoder(str(path))
+    for first in range(0, 0x10000, 4096):
+        texts = [f"a{chr(k)}B {chr(k)}'ll{chr(k)}" for k in range(first, first + 4096, 1 if first < 4096 else 5) if not 0xD800 <= k < 0xE000]
+        assert [a.tolist() for a in coder.encode_batch(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert coder.encode_batch([]) == [] and [len(a) for a in coder.encode_batch(["", " \n"])] == [0, 0]
+
+
+def test_slices_do_not_change_sequences(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "some words " * (k % 90)) for k in range(1300)], "doc_id long, text string").coalesce(1)
+    got = []
+    for chars in (1, 200_000, 10**9):
+        monkeypatch.setattr(packing, "SLICE_CHARS", chars)
+        got.append([tuple(r) for r in packing.pack_documents(docs, max_tokens=64).collect()])
+    assert sorted(got[0]) == sorted(got[1]) == sorted(got[2]) and len({r[0] for r in got[0]}) == 1300
+
+
 @pytest.mark.parametrize("together", [1, 2, 7, 1000])
 def test_archives_in_parts(together):
     """Pieces as the text source cuts them, several to a batch."""
