@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from lexmill.functions import sql
 from lexmill.operators import bpe, bpe_train, dictionary, packing, stats, vocab
 from lexmill.operators.chars import CharTokenizer
 from lexmill.plans import catalog
+from lexmill.session import SHUFFLE_CLEANUP, drop_table, write_table
 from tests.plain import plain_chunks, plain_encode, plain_merges
 
 
@@ -428,3 +430,55 @@ def test_words_of_a_row_are_gathered_in_the_row(spark):
     want = want.groupBy("_row", "word").agg(F.sort_array(F.collect_list("place")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count()
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("block_bytes, held_ids", [(1, 1), (150, 7), (16_000_000, 500_000)])
+def test_rows_come_back_whole_from_blocks(spark, monkeypatch, block_bytes, held_ids):
+    """Blocks of one row, of some rows, of all rows of a task; other columns of any kind and broken UTF-8 stay as they are."""
+    monkeypatch.setattr(dictionary, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(dictionary, "HELD_IDS", held_ids)
+    texts = ["low lower", None, "", "  ", "a▁b ▁", "low " * 40 + "é中", "b a b", "x\ny a", "low lower", "▁▁a"] * 3
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string").repartition(3, "doc_id")
+    rows = rows.withColumn("content", F.when(F.col("doc_id") == 2, F.expr("cast(x'61ff20c3' as string)")).otherwise(F.col("content")))
+    rows = rows.withColumns({
+        "row": F.array("doc_id", F.lit(None)), "at": F.expr("if(doc_id % 2 = 0, timestamp_micros(doc_id), null)"), "text": F.lit("w"),
+        "m": F.create_map(F.lit("k"), F.struct("doc_id")), "d": F.col("doc_id").cast("decimal(20, 2)"), "b": F.col("content").cast("binary"),
+    })
+    tokenizer = small_tokenizer()
+    got = dictionary.dictionary_encode(rows, tokenizer)
+    assert got.columns == [*rows.columns, "ids"] and got.select("ids").schema[0].dataType.simpleString() == "array<int>"
+    got = got.select(*[F.to_json(F.struct(c)).alias(c) if c == "m" else F.col(c) for c in got.columns])
+    want = rows.withColumns({"m": F.to_json(F.struct("m")), "ids": tokenizer.encode(F.make_valid_utf8("content"))})
+    assert got.count() == len(texts) and got.exceptAll(want).isEmpty()
+
+
+def test_dictionary_moves_the_words_of_blocks(spark, monkeypatch):
+    """Rows of a task share their words: 2,000 rows of 5 words in 2 tasks make 10 pairs, and nothing is shuffled row by row."""
+    written = {}
+
+    def counted(df, label):
+        table, path = write_table(df, label)
+        written[label] = table.count()
+        return table, path
+
+    monkeypatch.setattr(dictionary, "write_table", counted)
+    texts = spark.range(0, 2_000, 1, 2).select(F.col("id").alias("doc_id"), F.lit("low lower a b a c").alias("content"))
+    got = dictionary.dictionary_encode(texts, small_tokenizer())
+    assert written["word-places"] == 10 and written["blocks"] == 2
+    assert got.count() == 2_000 and got.select("ids").distinct().count() == 1
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {str(f) for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()) if "shuffle_" in str(f)}
+
+    before = files()
+    table, path = write_table(spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).count(), "grouped")
+    end = time.monotonic() + 20
+    while files() - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not files() - before and table.count() == 7
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    drop_table(spark, path)
