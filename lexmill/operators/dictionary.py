@@ -18,8 +18,8 @@ from lexmill.session import drop_table, write_table
 FREQUENT = 10_000
 #: Rows are gathered to blocks of so many bytes, or one row. The larger a block, the fewer pairs; a task holds one.
 BLOCK_BYTES = 16_000_000
-#: Words whose ids a task holds before they leave it, block by block.
-HELD_IDS = 500_000
+#: Bytes of ids, about half a million words, that a task holds before they leave it, block by block.
+HELD_BYTES = 16_000_000
 
 
 def marked_words(column: str):
@@ -31,25 +31,27 @@ def marked_words(column: str):
 
 
 def words_in_order(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """For each word of the texts, in order: the number of its text, and the word without the mark."""
+    """Where the words of each text end among the words of all, beginning with 0, and the words without the mark."""
     cut = pc.split_pattern(pc.fill_null(texts, ""), " ")
-    owner, words = pc.list_parent_indices(cut), pc.list_flatten(cut)
+    ends, words = cut.offsets.to_numpy(), cut.values
     there = pc.not_equal(words, "")
-    owner, words = owner.filter(there), words.filter(there)
+    if not pc.all(there).as_py():
+        ends, words = np.append(0, np.cumsum(there, dtype=np.int32))[ends], words.filter(there)
     if pc.any(pc.match_substring(words, WORD_START)).as_py():
         cut = pc.split_pattern(words, WORD_START)
-        owner, words = owner.take(pc.list_parent_indices(cut)), pc.list_flatten(cut)
-    return np.asarray(owner, np.int64), words
+        ends, words = cut.offsets.to_numpy()[ends], cut.values
+    return ends, words
 
 
-def places_of_words(owner: np.ndarray, words: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
-    """Each word of an owner once: the owner, the marked word, its places among the words of the owner."""
+def places_of_words(ends: np.ndarray, words: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+    """Each word of a text once: the number of the text, the marked word, its places among the words of the text."""
+    owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
     coded = words.dictionary_encode()
     codes = np.asarray(coded.indices, np.int64)
     key = owner * max(1, len(coded.dictionary)) + codes
     order = np.argsort(key, kind="stable")
     first = np.flatnonzero(np.diff(key[order], prepend=-1))
-    places = (np.arange(len(owner)) - np.searchsorted(owner, owner))[order]
+    places = (np.arange(len(owner)) - ends[owner])[order]
     lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(order)), pa.int32()), pa.array(places, pa.int32()))
     marked = pc.binary_join_element_wise(WORD_START, coded.dictionary.cast(pa.string()), "")
     return owner[order[first]], marked.take(pa.array(codes[order[first]])), lists
@@ -59,7 +61,7 @@ def packed(table: pa.Table) -> pa.RecordBatch:
     """A table as one compressed value ``rows``."""
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table.combine_chunks())
+        out.write_table(table)
     return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["rows"])
 
 
@@ -69,8 +71,8 @@ def unpacked(rows: pa.BinaryScalar) -> pa.Table:
 
 def block_words(block: pa.Table, column: str) -> tuple[np.ndarray, pa.Array]:
     """``words_in_order`` of the texts of a block."""
-    given = pa.Table.from_struct_array(block["row"])[column]
-    return words_in_order(pc.coalesce(block["text"], given).combine_chunks())
+    given, made = pa.Table.from_struct_array(block["row"])[column], block["text"]
+    return words_in_order((given if made.null_count == len(made) else pc.coalesce(made, given)).combine_chunks())
 
 
 def packed_rows(texts: DataFrame, column: str) -> DataFrame:
@@ -109,8 +111,8 @@ def word_places(rows: DataFrame, column: str, packed: str | None = None) -> Data
     """
     schema = pa.schema([("_row", pa.int64()), ("word", pa.string()), ("places", pa.list_(pa.int32()))])
 
-    def found(rows: pa.Array, owner: np.ndarray, words: pa.Array) -> pa.RecordBatch:
-        owner, word, places = places_of_words(owner, words)
+    def found(rows: pa.Array, ends: np.ndarray, words: pa.Array) -> pa.RecordBatch:
+        owner, word, places = places_of_words(ends, words)
         return pa.RecordBatch.from_arrays([rows.take(pa.array(owner)), word, places], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +122,7 @@ def word_places(rows: DataFrame, column: str, packed: str | None = None) -> Data
                 continue
             for k in range(batch.num_rows):
                 _, words = block_words(unpacked(batch.column(1)[k]), column)
-                yield found(batch.column(0).slice(k, 1), np.zeros(len(words), np.int64), words)
+                yield found(batch.column(0).slice(k, 1), np.array([0, len(words)]), words)
 
     given = F.make_valid_utf8(column).alias("text") if packed is None else packed
     return rows.select("_row", given).mapInArrow(run, "_row bigint, word string, places array<int>")
@@ -166,7 +168,7 @@ def ids_by_row(found: DataFrame) -> DataFrame:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held += [batch] * bool(batch.num_rows)
-            if sum(b.num_rows for b in held) >= HELD_IDS:
+            if sum(b.nbytes for b in held) >= HELD_BYTES:
                 yield gathered(held)
                 held = []
         if held:
@@ -181,7 +183,7 @@ def rows_with_ids(blocks: DataFrame, found: DataFrame, column: str, schema: Stru
 
     def encoded(block: pa.Table, found: pa.Table) -> pa.Table:
         table = unpacked(block["rows"][0])
-        owner, words = block_words(table, column)
+        ends, words = block_words(table, column)
         # The words of a block are numbered in order of their first places.
         codes = words.dictionary_encode().indices
         places, sizes, ids = (pc.list_flatten(found[c]).combine_chunks() for c in ("places", "sizes", "ids"))
@@ -190,9 +192,7 @@ def rows_with_ids(blocks: DataFrame, found: DataFrame, column: str, schema: Stru
         if len(by_code) != len(codes.unique()):
             raise ValueError("words and ids of a block do not match")
         by_word = by_code.take(codes)
-        ends = np.append(0, np.cumsum(pc.list_value_length(by_word).to_numpy()))
-        ends = ends[np.searchsorted(owner, np.arange(table.num_rows), side="right")]
-        lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), by_word.flatten())
+        lists = pa.ListArray.from_arrays(pa.array(by_word.offsets.to_numpy()[ends], pa.int32()), by_word.values)
         return pa.Table.from_batches([packed(table.select(["row"]).append_column("ids", lists))])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,9 +220,10 @@ def dictionary_encode(texts: DataFrame, tokenizer: BpeTokenizer, column: str = "
     packed = packed_rows(texts, column).withColumn("_row", F.monotonically_increasing_id())
     blocks, _ = write_table(packed, "blocks")
     first = F.col("places")[0].alias("place")
-    places, places_path = write_table(word_places(blocks, column, "rows").select("_row", "word", first), "word-places")
+    places = word_places(blocks, column, "rows").select("_row", "word", first)
+    places, places_path = write_table(places, "word-places", compression="zstd")
     counted = places.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    known, known_path = write_table(encoded_words(counted, tokenizer), "word-ids")
+    known, known_path = write_table(encoded_words(counted, tokenizer), "word-ids", compression="zstd")
     total = places.count()
     often = F.col("n") * FREQUENT > total
     frequent = known.where(often).select("word", "ids", F.lit(True).alias("frequent"))
@@ -230,7 +231,7 @@ def dictionary_encode(texts: DataFrame, tokenizer: BpeTokenizer, column: str = "
     first = by_frequent.where("frequent").select("_row", "place", "ids")
     others = by_frequent.where("frequent is null").select("_row", "place", "word")
     second = others.join(known.where(~often).select("word", "ids"), "word").select("_row", "place", "ids")
-    found, _ = write_table(ids_by_row(first.unionByName(second)), "block-ids")
+    found, _ = write_table(ids_by_row(first.unionByName(second)), "block-ids", compression="zstd")
     drop_table(spark, places_path)
     drop_table(spark, known_path)
     columns = [StructField(f.name, f.dataType, True, f.metadata) for f in texts.schema]

@@ -432,11 +432,11 @@ def test_words_of_a_row_are_gathered_in_the_row(spark):
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("block_bytes, held_ids", [(1, 1), (150, 7), (16_000_000, 500_000)])
-def test_rows_come_back_whole_from_blocks(spark, monkeypatch, block_bytes, held_ids):
+@pytest.mark.parametrize("block_bytes, held_bytes", [(1, 1), (150, 200), (16_000_000, 16_000_000)])
+def test_rows_come_back_whole_from_blocks(spark, monkeypatch, block_bytes, held_bytes):
     """Blocks of one row, of some rows, of all rows of a task; other columns of any kind and broken UTF-8 stay as they are."""
     monkeypatch.setattr(dictionary, "BLOCK_BYTES", block_bytes)
-    monkeypatch.setattr(dictionary, "HELD_IDS", held_ids)
+    monkeypatch.setattr(dictionary, "HELD_BYTES", held_bytes)
     texts = ["low lower", None, "", "  ", "a▁b ▁", "low " * 40 + "é中", "b a b", "x\ny a", "low lower", "▁▁a"] * 3
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string").repartition(3, "doc_id")
     rows = rows.withColumn("content", F.when(F.col("doc_id") == 2, F.expr("cast(x'61ff20c3' as string)")).otherwise(F.col("content")))
@@ -456,8 +456,8 @@ def test_dictionary_moves_the_words_of_blocks(spark, monkeypatch):
     """Rows of a task share their words: 2,000 rows of 5 words in 2 tasks make 10 pairs, and nothing is shuffled row by row."""
     written = {}
 
-    def counted(df, label):
-        table, path = write_table(df, label)
+    def counted(df, label, **options):
+        table, path = write_table(df, label, **options)
         written[label] = table.count()
         return table, path
 
